@@ -13,20 +13,33 @@ WEEK = 5
 
 
 def describe(series_df):
-    """Count, mean, sample deviation, extremes and interpolated quartiles per series."""
-    quartiles = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    stats = series_df.groupBy("series").agg(
+    """Count, mean, sample deviation, extremes and interpolated quartiles per series.
+
+    The quartiles are read off the sorted rows, which spill where a percentile aggregate
+    would hold every distinct value in memory.
+    """
+    ascending = W.partitionBy("series").orderBy("value")
+    ranked = series_df.select(
+        "series", "value", F.row_number().over(ascending).alias("rn"),
+        F.count(F.lit(1)).over(ascending.rowsBetween(
+            W.unboundedPreceding, W.unboundedFollowing)).alias("n"))
+
+    def quantile(share):
+        place = F.lit(share) * (F.col("n") - 1)
+        below = F.floor(place)
+        weight = place - below
+        # the row at the place, and a part of the way to the next
+        return F.sum(F.when(F.col("rn") == below + 1, F.col("value") * (1 - weight))
+                     .when(F.col("rn") == below + 2, F.col("value") * weight))
+
+    return ranked.groupBy("series").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
-        quartiles.alias("q"),
+        quantile(0.25).alias("p25"), quantile(0.5).alias("p50"), quantile(0.75).alias("p75"),
         F.max("value").alias("max"),
     )
-    return stats.select(
-        "series", "count", "mean", "std", "min",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"),
-        "max")
 
 
 def autocovariance_sums(frame, value, lags):
@@ -63,36 +76,34 @@ def _difference_correlations(series_df, lags, fraction):
                     F.transform("c", lambda x: x / F.col("c")[0]).alias("r")))
 
 
-def acf(series_df, lags=40, fraction=SPLIT):
-    """Autocorrelations of the differenced train part with Bartlett's 95 % band."""
-    r = _difference_correlations(series_df, lags, fraction)
-    lag_rows = r.select("series", "n", "r", F.posexplode("r").alias("lag", "value"))
-    # squares of r_1 .. r_(k-1)
-    earlier = F.aggregate(
-        F.when(F.col("lag") > 1, F.slice("r", F.lit(2), F.col("lag") - 1))
-        .otherwise(F.array().cast("array<double>")),
-        F.lit(0.0), lambda acc, x: acc + x * x)
-    variance = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(
-        (1 + 2 * earlier) / F.col("n"))
-    half = F.lit(NORMAL_95) * F.sqrt(variance)
-    return lag_rows.select("series", "lag", "value",
-                           (F.col("value") - half).alias("lo"),
-                           (F.col("value") + half).alias("hi"))
+def _acf_values():
+    """Array of (value, half width of Bartlett's 95 % band) by lag, from ``r`` and ``n``."""
+    def point(value, lag):
+        # squares of r_1 .. r_(k-1)
+        earlier = F.aggregate(F.slice("r", F.lit(2), F.greatest(lag - 1, F.lit(0))),
+                              F.lit(0.0), lambda acc, x: acc + x * x)
+        variance = F.when(lag == 0, F.lit(0.0)).otherwise((1 + 2 * earlier) / F.col("n"))
+        return F.struct(value.alias("value"),
+                        (F.lit(NORMAL_95) * F.sqrt(variance)).alias("half"))
 
+    return F.transform("r", point)
 
-def pacf(series_df, lags=40, fraction=SPLIT):
-    """Partial autocorrelations by the Durbin-Levinson recursion over the ACF array.
 
-    The recursion runs over at most ``lags`` elements per series, inside the JVM.
+def _pacf_values():
+    """As ``_acf_values`` for the partial correlations: Durbin-Levinson over ``r``.
+
+    The recursion runs over at most the lags asked for, inside the JVM.
     """
-    r = _difference_correlations(series_df, lags, fraction)
+    r = F.col("r")
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
+                           lambda acc, x: acc + x)
 
     def step(state, k):
-        phi, rho = state["phi"], F.col("r")
-        known = F.slice(rho, F.lit(2), k - 1)            # r_1 .. r_(k-1)
-        dot = lambda a, b: F.aggregate(                   # noqa: E731
-            F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-        last = F.try_divide(F.get(rho, k) - dot(phi, F.reverse(known)),
+        phi = state["phi"]
+        known = F.slice(r, F.lit(2), k - 1)               # r_1 .. r_(k-1)
+        last = F.try_divide(F.get(r, k) - dot(phi, F.reverse(known)),
                             F.lit(1.0) - dot(phi, known))
         # bound to a variable, or every element would work it out again
         return F.get(F.transform(F.array(last), lambda v: F.struct(
@@ -102,25 +113,51 @@ def pacf(series_df, lags=40, fraction=SPLIT):
 
     start = F.struct(F.array().cast("array<double>").alias("phi"),
                      F.array(F.lit(1.0)).alias("out"))
-    values = F.when(F.size("r") > 1, F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.size("r") - 1, F.lit(1))), start, step,
-        lambda s: s["out"])).otherwise(F.array(F.lit(1.0)))
-    half = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(
-        F.lit(NORMAL_95) / F.sqrt("n"))
-    return (r.select("series", "n", values.alias("out"))
-            .select("series", "n", F.posexplode("out").alias("lag", "value"))
-            .select("series", "lag", "value",
-                    (F.col("value") - half).alias("lo"),
-                    (F.col("value") + half).alias("hi")))
+    values = F.when(F.size(r) > 1, F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.size(r) - 1, F.lit(1))), start, step,
+        lambda state: state["out"])).otherwise(F.array(F.lit(1.0)))
+    return F.transform(values, lambda value, lag: F.struct(
+        value.alias("value"),
+        F.when(lag == 0, F.lit(0.0)).otherwise(F.lit(NORMAL_95) / F.sqrt("n"))
+        .alias("half")))
+
+
+def _by_lag(r, values, *columns):
+    # the outer form keeps the optimizer from copying the array into a filter on its size
+    points = r.select("series", *columns, F.posexplode_outer(values).alias("lag", "_p"))
+    return points.select("series", *columns, "lag", F.col("_p.value").alias("value"),
+                         F.col("_p.half").alias("half"))
+
+
+def _with_band(points):
+    return points.select("series", "lag", "value",
+                         (F.col("value") - F.col("half")).alias("lo"),
+                         (F.col("value") + F.col("half")).alias("hi"))
+
+
+def acf(series_df, lags=40, fraction=SPLIT):
+    """Autocorrelations of the differenced train part with Bartlett's 95 % band."""
+    return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction),
+                              _acf_values()))
+
+
+def pacf(series_df, lags=40, fraction=SPLIT):
+    """Partial autocorrelations of the differenced train part with their 95 % band."""
+    return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction),
+                              _pacf_values()))
 
 
 def correlograms(series_df, lags=40, fraction=SPLIT):
     """ACF and PACF in one long table with the error-bar lengths of the band."""
-    both = (acf(series_df, lags, fraction).withColumn("kind", F.lit("acf"))
-            .unionByName(pacf(series_df, lags, fraction).withColumn("kind", F.lit("pacf"))))
-    return both.select("series", "kind", "lag", "value",
-                       (F.col("hi") - F.col("value")).alias("upper"),
-                       (F.col("value") - F.col("lo")).alias("lower"))
+    r = _difference_correlations(series_df, lags, fraction)
+    both = r.select("series", F.explode_outer(F.array(
+        F.struct(F.lit("acf").alias("kind"), _acf_values().alias("values")),
+        F.struct(F.lit("pacf").alias("kind"), _pacf_values().alias("values")))).alias("_k"))
+    points = _by_lag(both.select("series", "_k.kind", "_k.values"), F.col("values"), "kind")
+    return points.select(
+        "series", "kind", "lag", "value",
+        F.col("half").alias("upper"),
+        F.col("half").alias("lower"))
 
 
 def _centred_mean(period):

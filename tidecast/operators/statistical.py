@@ -29,26 +29,62 @@ TESTS = _struct(variant=_TEXT, n=_INT, adf_stat=_DOUBLE, adf_p=_DOUBLE, adf_lags
                 kpss_stat=_DOUBLE, kpss_p=_DOUBLE, kpss_lags=_INT)
 
 
-@F.pandas_udf(HOLT_FIT)
-def _holt(train: pd.Series) -> pd.DataFrame:
-    def one(y):
+# Series fitted side by side: enough to fill the vector operations of a time step.
+SIDE_BY_SIDE = 16
+
+
+def _in_groups(train, fit):
+    """``fit(rows)`` on groups of series of like length; a result or exception per row."""
+    def together(rows):
         try:
-            return (*fits.holt_fit(y), None)
+            return fit(rows)
         except Exception as error:
-            return float(y[-1]), 0.0, None, None, None, f"{type(error).__name__}: {error}"
-    return pd.DataFrame([one(y) for y in train])
+            # one series must not cost its neighbours their fit
+            return ([error] if len(rows) == 1 else
+                    [found for i in rows for found in together([i])])
+
+    by_length = train.str.len().sort_values(kind="stable").index.tolist()
+    found = {}
+    for first in range(0, len(by_length), SIDE_BY_SIDE):
+        rows = by_length[first:first + SIDE_BY_SIDE]
+        found.update(zip(rows, together(rows)))
+    return [found[i] for i in train.index]
+
+
+def _reason(error):
+    return f"{type(error).__name__}: {error}"
+
+
+@F.pandas_udf(HOLT_FIT)
+def _holt(train: pd.Series) -> pd.DataFrame:
+    def fit(rows):
+        if any(len(train[i]) < 3 for i in rows):
+            raise ValueError("fewer than three values")
+        return fits.holt_fits([train[i] for i in rows])
+
+    def one(y, found):
+        if isinstance(found, Exception):
+            return float(y[-1]), 0.0, None, None, None, _reason(found)
+        return (*found, None)
+
+    return pd.DataFrame([one(y, f) for y, f in zip(train, _in_groups(train, fit))])
 
 
 @F.pandas_udf(ARIMA_FIT)
 def _arima(train: pd.Series, horizon: pd.Series) -> pd.DataFrame:
-    def one(y, steps):
-        try:
-            ahead, (p, d, q), constant, aic = fits.arima_forecast(y, steps)
-            return ahead.tolist(), p, d, q, constant, aic, None
-        except Exception as error:
-            return ([float(y[-1])] * steps, None, None, None, None, None,
-                    f"{type(error).__name__}: {error}")
-    return pd.DataFrame([one(y, h) for y, h in zip(train, horizon)])
+    def fit(rows):
+        return fits.arima_forecasts([train[i] for i in rows],
+                                    [int(horizon[i]) for i in rows])
+
+    def one(y, steps, found):
+        if isinstance(found, Exception):
+            return ([float(y[-1])] * int(steps), None, None, None, None, None,
+                    _reason(found))
+        ahead, (p, d, q), constant, aic = found
+        return ahead.tolist(), p, d, q, constant, aic, None
+
+    return pd.DataFrame([one(y, h, f) for y, h, f in
+                         zip(train, horizon, _in_groups(train, fit))])
 
 
 @F.pandas_udf(T.ArrayType(TESTS))

@@ -457,8 +457,7 @@ def feature_vectors(spark, folder):
 
 
 def _pooled(name, spark, folder):
-    predictions, _ = pooled.pooled_forecast(tables.bars(spark, folder), [name])
-    return predictions[0]
+    return pooled.pooled_forecast(tables.bars(spark, folder), [name])[0]
 
 
 @query
@@ -509,6 +508,12 @@ def five_model_run(spark, folder):
     return forecast_run(tables.bars(spark, folder)).metrics
 
 
+@query
+def five_model_run_many(spark, folder):
+    """The same run over many series."""
+    return forecast_run(tables.supplier_bars(spark, folder)).metrics
+
+
 @query
 def quick_analysis(spark, folder):
     return quick_metrics(tables.supplier_bars(spark, folder))

@@ -34,8 +34,8 @@ def file_status(spark, folder, pattern="*.csv"):
     """(file_path, header, status, error) of every file, from its first bytes.
 
     The listing is Spark's own and carries no file contents; the tasks open the files. A
-    file that cannot be opened or decoded, or that is empty, gets a status instead of
-    ending the job. Raises AnalysisException where nothing matches.
+    file that cannot be opened or decoded, or that has no header, gets a status instead of
+    ending the job; files of zero length are not listed. Raises AnalysisException where nothing matches.
     """
     reach_workers(spark)
     listing = (spark.read.format("binaryFile").load(f"{folder}/{pattern}")
@@ -163,9 +163,15 @@ def file_key(series, year_from, year_to):
 
 
 def write_raw(raw, folder, year_from, year_to):
-    """Raw records to one CSV folder per ``{series}_{from}_{to}``."""
-    (raw.withColumn("file_key", file_key(F.col("Ticker"), F.lit(year_from), F.lit(year_to)))
-     .write.mode("overwrite").partitionBy("file_key").csv(folder, header=True))
+    """Raw records to one CSV folder per ``{series}_{from}_{to}``.
+
+    Rebalancing gathers a key's rows, so a key gets one file and not one per task, and
+    splits a key that is too large for one.
+    """
+    keyed = raw.withColumn("file_key", file_key(F.col("Ticker"), F.lit(year_from),
+                                                F.lit(year_to)))
+    (keyed.hint("rebalance", "file_key").write.mode("overwrite").partitionBy("file_key")
+     .csv(folder, header=True))
 
 
 def read_written(spark, folder):
