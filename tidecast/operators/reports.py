@@ -36,12 +36,18 @@ def metric_matrix(metric_df, metric, models):
 
 
 def metric_grid(metric_df, models):
-    """Every series with every model, in the given order, gaps null."""
+    """Every series with every model, in the given order, gaps null.
+
+    One grouping gathers a series' few rows, from which each cell is looked up; the
+    metrics are read once.
+    """
     names = F.array(*[F.lit(m) for m in models])
-    grid = (metric_df.select("series").distinct()
-            .select("series", F.posexplode(names).alias("position", "model")))
-    return grid.join(metric_df, ["series", "model"], "left").select(
-        "series", "position", "model", *METRICS)
+    gathered = metric_df.groupBy("series").agg(
+        F.collect_list(F.struct("model", *METRICS)).alias("_rows"))
+    grid = gathered.select("series", "_rows", F.posexplode(names).alias("position", "model"))
+    cell = F.get(F.filter("_rows", lambda row: row["model"] == F.col("model")), F.lit(0))
+    return grid.select("series", "position", "model",
+                       *[cell[m].alias(m) for m in METRICS])
 
 
 def metric_long(metric_df):

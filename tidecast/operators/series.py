@@ -101,10 +101,12 @@ def series_keys(series_df):
 
 
 def long_enough(series_df, min_rows):
-    """Rows of the series that have at least ``min_rows`` rows."""
-    kept = (series_df.groupBy("series").agg(F.count(F.lit(1)).alias("rows"))
-            .filter(F.col("rows") >= min_rows).select("series"))
-    return series_df.join(kept, "series", "left_semi")
+    """Rows of the series that have at least ``min_rows`` rows.
+
+    The count shares its shuffle and sort with the windows that follow.
+    """
+    counted = series_df.select("*", F.count(F.lit(1)).over(whole_series()).alias("_rows"))
+    return counted.filter(F.col("_rows") >= min_rows).drop("_rows")
 
 
 def length_report(series_df, min_rows):

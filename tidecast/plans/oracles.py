@@ -7,9 +7,9 @@ from tidecast.sources.schema import MIN_ROWS
 _LINES = """{name} AS (
   SELECT series, date, value FROM (
     SELECT CAST({key} AS VARCHAR) AS series, CAST(l_shipdate AS DATE) AS date,
-           l_extendedprice AS value,
+           {value} AS value,
            row_number() OVER (PARTITION BY {key}, CAST(l_shipdate AS DATE)
-             ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS k
+             ORDER BY l_orderkey DESC, l_linenumber DESC, {value} DESC) AS k
     FROM lineitem) WHERE k = 1)"""
 _ORDERS = """{name} AS (
   SELECT series, date, value FROM (
@@ -27,14 +27,15 @@ _EVENTS = """{name} AS (
 
 _SOURCES = {
     "bars": (_LINES, "l_returnflag"), "supplier_bars": (_LINES, "l_suppkey"),
+    "quantity_days": (_LINES, "l_returnflag", "l_quantity"),
     "order_days": (_ORDERS, "o_orderpriority"), "customer_orders": (_ORDERS, "o_custkey"),
     "event_days": (_EVENTS, "user_id"),
 }
 
 
 def source(name, alias="s"):
-    template, key = _SOURCES[name]
-    return template.format(name=alias, key=key)
+    template, key, *value = _SOURCES[name]
+    return template.format(name=alias, key=key, value=(value or ["l_extendedprice"])[0])
 
 
 # s -> numbered and split
@@ -121,9 +122,17 @@ LEADERBOARD = """lb AS (
   SELECT model, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse,
          round(avg(mape), 4) AS mape, round(avg(r2), 4) AS r2
   FROM m GROUP BY model)"""
-BEST = """best AS (
-  SELECT series, model AS best_model, round(rmse, 2) AS rmse, round(r2, 4) AS r2,
-         round(mae, 2) AS mae, round(mape, 2) AS mape
+
+
+def _half_up(column, digits):
+    """Rounded as the decimal it shows, as the four-decimal metrics are."""
+    return (f"CAST(round(CAST({column} AS DECIMAL(24, 4)), {digits}) AS DOUBLE) "
+            f"AS {column}")
+
+
+BEST = f"""best AS (
+  SELECT series, model AS best_model, {_half_up('rmse', 2)}, {_half_up('r2', 4)},
+         {_half_up('mae', 2)}, {_half_up('mape', 2)}
   FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY rmse NULLS LAST, model)
                AS k FROM m) WHERE k = 1)"""
 
@@ -373,10 +382,10 @@ c AS (SELECT page_id, row_no, regexp_extract_all(body, '(?is)<li\\b[^>]*>(.*?)</
     "bday_fill_sparse": _with(source("customer_orders"), BUSINESS_DAYS,
                               "SELECT * FROM filled"),
     "describe_series": _with(source("supplier_bars"), """SELECT series, count(*) AS count,
-        round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
-        round(min(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS p25,
-        round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.75), 4)
-        AS p75, round(max(value), 4) AS max FROM s GROUP BY series"""),
+        round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+        round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25,
+        round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6)
+        AS p75, round(max(value), 6) AS max FROM s GROUP BY series"""),
     "acf_band": _with(source("supplier_bars"), SPLIT, CORRELATIONS, """SELECT series, lag,
         round(value, 6) AS value, round(lo, 6) AS lo, round(hi, 6) AS hi FROM acf"""),
     "pacf_band": _with(source("supplier_bars"), SPLIT, CORRELATIONS, PARTIALS, """SELECT
@@ -387,7 +396,7 @@ c AS (SELECT page_id, row_no, regexp_extract_all(body, '(?is)<li\\b[^>]*>(.*?)</
         round(value - lo, 6) AS lower
         FROM (SELECT 'acf' AS kind, * FROM acf UNION ALL SELECT 'pacf', * FROM pacf)""",
                               recursive=True),
-    "decompose_additive": _with(source("order_days"), BUSINESS_DAYS, DECOMPOSE, """SELECT
+    "decompose_additive": _with(source("quantity_days"), BUSINESS_DAYS, DECOMPOSE, """SELECT
         series, date, period, observed, round(trend, 6) AS trend,
         round(seasonal, 6) AS seasonal, round(resid, 6) AS resid FROM dc"""),
     "decompose_weekly": _with(
@@ -395,8 +404,8 @@ c AS (SELECT page_id, row_no, regexp_extract_all(body, '(?is)<li\\b[^>]*>(.*?)</
         "s AS (SELECT * FROM every WHERE year(date) = 1996)", BUSINESS_DAYS, DECOMPOSE,
         """SELECT series, date, period, observed, round(trend, 5) AS trend,
         round(seasonal, 5) AS seasonal, round(resid, 5) AS resid FROM dc"""),
-    "decomposition_long": _with(source("bars"), BUSINESS_DAYS, DECOMPOSE, " UNION ALL ".join(
-        f"SELECT series, date, '{c}' AS component, round({c}, 5) AS value FROM dc"
+    "decomposition_long": _with(source("quantity_days"), BUSINESS_DAYS, DECOMPOSE, " UNION ALL ".join(
+        f"SELECT series, date, '{c}' AS component, round({c}, 6) AS value FROM dc"
         for c in ("observed", "trend", "seasonal", "resid"))),
     "undecomposable": _with(
         source("customer_orders", "every"),

@@ -270,7 +270,7 @@ def bday_fill_sparse(spark, folder):
 @query
 def describe_series(spark, folder):
     out = diagnostics.describe(tables.supplier_bars(spark, folder))
-    return rounded(out, 4, *out.columns[2:])
+    return rounded(out, 6, *out.columns[2:])
 
 
 @query
@@ -293,13 +293,14 @@ def correlogram_bars(spark, folder):
 
 @query
 def decompose_additive(spark, folder):
-    out = diagnostics.decompose(tables.order_days(spark, folder))
+    out = diagnostics.decompose(tables.quantity_days(spark, folder))
     return rounded(out, 6, "trend", "seasonal", "resid")
 
 
 @query
 def decomposition_long(spark, folder):
-    return rounded(diagnostics.decomposition_long(tables.bars(spark, folder)), 5, "value")
+    out = diagnostics.decomposition_long(tables.quantity_days(spark, folder))
+    return rounded(out, 6, "value")
 
 
 @query

@@ -9,18 +9,18 @@ def read_table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def line_items_by(spark, folder, key):
-    """Last extended price of the day per ``key``: greatest order, line, then price.
+def line_items_by(spark, folder, key, value="l_extendedprice"):
+    """Last value of the day per ``key``: greatest order, then line, then value.
 
     The three are packed into one decimal, whose aggregate state is updated in place by a
     hash aggregate; a struct would make Spark sort every input split first.
     """
     items = read_table(spark, folder, "lineitem")
     line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("decimal(20,0)")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
+    cents = F.round(F.col(value) * 100).cast("decimal(12,0)")
     order = line * F.lit(10 ** 12).cast("decimal(13,0)") + cents
     return to_series(items, F.col(key).cast("string"), F.to_date("l_shipdate"),
-                     F.col("l_extendedprice"), order)
+                     F.col(value), order)
 
 
 def bars(spark, folder):
@@ -28,6 +28,11 @@ def bars(spark, folder):
     return line_items_by(spark, folder, "l_returnflag")
 
 
+def quantity_days(spark, folder):
+    """Few long series of whole numbers: the quantity per return flag."""
+    return line_items_by(spark, folder, "l_returnflag", "l_quantity")
+
+
 def supplier_bars(spark, folder):
     """Many medium series: one per supplier."""
     return line_items_by(spark, folder, "l_suppkey")
