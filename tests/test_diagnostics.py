@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidecast.functions import fits
-from tidecast.operators import diagnostics
+from tidecast.operators import diagnostics, statistical
 
 
 def walk(n, seed=1):
@@ -108,3 +108,26 @@ def test_correlogram_columns(make_series):
     wide = out.filter(F.col("lag") == 2).orderBy("kind").collect()
     assert [r.kind for r in wide] == ["acf", "pacf"]
     assert all(r.upper == r.lower > 0 for r in wide)
+
+
+def test_native_kpss_agrees_with_the_fit(make_series):
+    df = make_series(a=walk(200, 7), b=[float((i * 37) % 11) for i in range(90)])
+    rows = {(r.series, r.variant): r for r in statistical.kpss_report(df).collect()}
+    for name, train in (("a", walk(200, 7)[:160]), ("b", [(i * 37) % 11 for i in range(72)])):
+        for variant, x in (("level", train), ("difference", np.diff(train))):
+            stat, p, lags = fits.kpss_test(np.asarray(x, float))
+            row = rows[name, variant]
+            assert row.kpss_lags == lags
+            assert (row.kpss_stat, row.kpss_p) == (pytest.approx(stat), pytest.approx(p))
+
+
+def test_kpss_of_short_and_constant_series(make_series):
+    df = make_series(a=[5] * 30, b=[1, 2], c=[1, 3, 2])
+    rows = statistical.kpss_report(df).collect()
+    # the train part of b is one row and has no difference
+    assert len(rows) == 5
+    assert {(r.kpss_stat, r.kpss_verdict) for r in rows} == {(None, "undetermined")}
+
+
+def test_lag_cap_can_be_lifted(make_series):
+    assert diagnostics.acf(make_series(a=walk(60)), rows_per_lag=1).count() == 41

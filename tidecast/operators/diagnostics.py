@@ -62,14 +62,15 @@ def autocovariance_sums(frame, value, lags):
                        F.array(*[f"c{k}" for k in range(lags + 1)]).alias("c"))
 
 
-def _difference_correlations(series_df, lags, fraction):
-    """Per series: n, r_0..r_K of the differenced train part, K = min(lags, train/3).
+def _difference_correlations(series_df, lags, fraction, rows_per_lag):
+    """Per series: n, r_0..r_K of the differenced train part.
 
-    A constant series has no correlations and is left out.
+    K is ``lags``, or less where the train part has not ``rows_per_lag`` rows for each. A
+    constant series has no correlations and is left out.
     """
     sums = autocovariance_sums(first_difference(series_df, fraction), "diff", lags)
     train_rows = F.col("n") + 1
-    usable = F.least(F.lit(lags), F.floor(train_rows / 3).cast("int"))
+    usable = F.least(F.lit(lags), F.floor(train_rows / rows_per_lag).cast("int"))
     return (sums.filter(F.col("c")[0] > 0)
             .select("series", "n", F.slice("c", F.lit(1), usable + 1).alias("c"))
             .select("series", "n",
@@ -96,15 +97,11 @@ def _pacf_values():
     """
     r = F.col("r")
 
-    def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
-                           lambda acc, x: acc + x)
-
     def step(state, k):
         phi = state["phi"]
         known = F.slice(r, F.lit(2), k - 1)               # r_1 .. r_(k-1)
-        last = F.try_divide(F.get(r, k) - dot(phi, F.reverse(known)),
-                            F.lit(1.0) - dot(phi, known))
+        last = F.try_divide(F.get(r, k) - _dot(phi, F.reverse(known)),
+                            F.lit(1.0) - _dot(phi, known))
         # bound to a variable, or every element would work it out again
         return F.get(F.transform(F.array(last), lambda v: F.struct(
             F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - v * y),
@@ -135,21 +132,21 @@ def _with_band(points):
                          (F.col("value") + F.col("half")).alias("hi"))
 
 
-def acf(series_df, lags=40, fraction=SPLIT):
+def acf(series_df, lags=40, fraction=SPLIT, rows_per_lag=3):
     """Autocorrelations of the differenced train part with Bartlett's 95 % band."""
-    return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction),
-                              _acf_values()))
+    return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction,
+                                                        rows_per_lag), _acf_values()))
 
 
-def pacf(series_df, lags=40, fraction=SPLIT):
+def pacf(series_df, lags=40, fraction=SPLIT, rows_per_lag=3):
     """Partial autocorrelations of the differenced train part with their 95 % band."""
-    return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction),
-                              _pacf_values()))
+    return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction,
+                                                        rows_per_lag), _pacf_values()))
 
 
-def correlograms(series_df, lags=40, fraction=SPLIT):
+def correlograms(series_df, lags=40, fraction=SPLIT, rows_per_lag=3):
     """ACF and PACF in one long table with the error-bar lengths of the band."""
-    r = _difference_correlations(series_df, lags, fraction)
+    r = _difference_correlations(series_df, lags, fraction, rows_per_lag)
     both = r.select("series", F.explode_outer(F.array(
         F.struct(F.lit("acf").alias("kind"), _acf_values().alias("values")),
         F.struct(F.lit("pacf").alias("kind"), _pacf_values().alias("values")))).alias("_k"))
@@ -250,3 +247,92 @@ def kpss_statistic(series_df, max_lag=8, fraction=SPLIT):
 
     values = F.array(*[statistic(lag) for lag in range(max_lag + 1)])
     return sums.select("series", "n", F.posexplode(values).alias("lags", "statistic"))
+
+
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
+                       lambda acc, x: acc + x)
+
+
+def level_and_difference(split_df):
+    """(series, variant, rn, x): the train values and their differences, from split rows."""
+    step = F.col("value") - F.lag("value", 1).over(by_date())
+    train = split_df.select("series", "rn", "split", "value", step.alias("_step")).filter(
+        F.col("split") == "train")
+    variants = F.array(F.struct(F.lit("level").alias("variant"), F.col("value").alias("x")),
+                       F.struct(F.lit("difference").alias("variant"),
+                                F.col("_step").alias("x")))
+    return (train.select("series", "rn", F.inline(variants)).filter(F.col("x").isNotNull()))
+
+
+def kpss(variants):
+    """Level KPSS statistic, p-value and lag of each (series, variant), lag from the data.
+
+    The lag is Hobijn et al.'s (1998); p is interpolated between the published levels and
+    stays within [.01, .10]. Null where there are fewer than four values or all are equal.
+    Means and partial sums come from windows. The long-run variance at lag L is the mean
+    square of sums over L + 1 neighbours, each a difference of two partial sums, so its
+    cost does not grow with the lag. ``x`` comes along as an array.
+    """
+    whole = W.partitionBy("series", "variant").orderBy("rn").rowsBetween(
+        W.unboundedPreceding, W.unboundedFollowing)
+    so_far = W.partitionBy("series", "variant").orderBy("rn").rowsBetween(
+        W.unboundedPreceding, 0)
+    centred = variants.select("*", (F.col("x") - F.avg("x").over(whole)).alias("z"))
+    summed = centred.select("*", F.sum("z").over(so_far).alias("s"))
+    packed = summed.groupBy("series", "variant").agg(
+        F.count("x").cast("int").alias("n"),
+        F.avg(F.col("z") * F.col("z")).alias("_base"),
+        F.sum(F.col("s") * F.col("s")).alias("_ss"),
+        F.sort_array(F.collect_list(F.struct("rn", "x", "z", "s"))).alias("_rows"))
+    arrays = packed.select(
+        "series", "variant", "n", "_base", "_ss",
+        *[F.col(f"_rows.{c}").alias(c) for c in ("x", "z", "s")])
+
+    n, z = F.col("n"), F.col("z")
+    enough = (n >= 4) & (F.col("_base") > 0)
+    first = F.floor(F.pow(n, F.lit(2.0 / 9.0))).cast("int")
+
+    def near(weight):
+        """Weighted sum of the first few autocovariances, twice."""
+        return F.when(enough, F.aggregate(
+            F.sequence(F.lit(1), F.greatest(first, F.lit(1))), F.lit(0.0),
+            lambda acc, k: acc + weight(k) * 2 / n * _dot(
+                F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k))))
+
+    sums = arrays.select("*", near(lambda k: F.lit(1.0)).alias("_g"),
+                         near(lambda k: k).alias("_ig"))
+    ratio = F.try_divide(F.col("_ig"), F.col("_base") + F.col("_g"))
+    gamma = 1.1447 * F.pow(ratio * ratio, F.lit(1.0 / 3.0))
+    # compared as doubles: the ratio has no bound where its divisor nears zero
+    lags = F.least(F.floor(gamma * F.pow(n, F.lit(1.0 / 3.0))).cast("double"),
+                   (n - 1).cast("double")).cast("int")
+    lagged = sums.select("*", F.coalesce(F.when(enough, lags), F.lit(0)).alias("kpss_lags"))
+    width = F.col("kpss_lags") + 1
+
+    def partial(t):
+        return F.when(t < 1, F.lit(0.0)).otherwise(F.get("s", F.least(t, n) - 1))
+
+    squares = F.aggregate(
+        F.sequence(F.lit(1), n + F.col("kpss_lags")), F.lit(0.0),
+        lambda acc, t: acc + F.pow(partial(t) - partial(t - width), F.lit(2.0)))
+    tail = lagged.select("*", (squares / (n * width)).alias("_long_run"))
+    stat = F.when(enough & (F.col("_long_run") > 0), F.try_divide(
+        F.col("_ss"), n.cast("double") * n * F.col("_long_run")))
+    return tail.select("series", "variant", "x", "n", stat.alias("kpss_stat"),
+                       _kpss_p(stat).alias("kpss_p"), "kpss_lags")
+
+
+def _kpss_p(stat):
+    # fixed values: critical values and their levels
+    points = [(0.347, 0.10), (0.463, 0.05), (0.574, 0.025), (0.739, 0.01)]
+    p = F.when(stat <= points[0][0], F.lit(points[0][1]))
+    for (x0, p0), (x1, p1) in zip(points, points[1:]):
+        p = p.when(stat <= x1, p0 + (stat - x0) * ((p1 - p0) / (x1 - x0)))
+    return p.when(stat > points[-1][0], F.lit(points[-1][1]))
+
+
+def verdict(is_stationary, p):
+    """Reading of a p-value; undetermined where the test gave none."""
+    return F.when(p.isNull() | F.isnan(p), "undetermined").otherwise(
+        F.when(is_stationary, "stationary").otherwise("not stationary"))

@@ -24,6 +24,12 @@ def overall_best(metric_df):
         F.min("rmse").alias("rmse"))
 
 
+def labelled(report):
+    """Metric columns under the names a reader sees."""
+    return report.withColumnsRenamed(
+        {"mae": "MAE", "rmse": "RMSE", "mape": "MAPE (%)", "r2": "R²"})
+
+
 def model_order(metric_df):
     """Model names in leaderboard order. One row per model reaches the driver."""
     return [r["model"] for r in leaderboard(metric_df).select("model").collect()]

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from tidecast.functions import fits
 from tidecast.operators.baselines import MULTI_STEP, as_predictions
-from tidecast.operators.series import SPLIT, packed_split, spread
+from tidecast.operators.diagnostics import kpss, level_and_difference, verdict
+from tidecast.operators.series import SPLIT, packed_split, spread, with_split
 from tidecast.session import reach_workers
 
 
@@ -25,8 +26,7 @@ HOLT_FIT = _struct(level=_DOUBLE, trend=_DOUBLE, alpha=_DOUBLE, beta=_DOUBLE, ss
                    fallback=_TEXT)
 ARIMA_FIT = _struct(ahead=T.ArrayType(_DOUBLE), p=_INT, d=_INT, q=_INT,
                     constant=T.BooleanType(), aic=_DOUBLE, fallback=_TEXT)
-TESTS = _struct(variant=_TEXT, n=_INT, adf_stat=_DOUBLE, adf_p=_DOUBLE, adf_lags=_INT,
-                kpss_stat=_DOUBLE, kpss_p=_DOUBLE, kpss_lags=_INT)
+ADF_TEST = _struct(adf_stat=_DOUBLE, adf_p=_DOUBLE, adf_lags=_INT)
 
 
 # Series fitted side by side: enough to fill the vector operations of a time step.
@@ -87,17 +87,11 @@ def _arima(train: pd.Series, horizon: pd.Series) -> pd.DataFrame:
                          zip(train, horizon, _in_groups(train, fit))])
 
 
-@F.pandas_udf(T.ArrayType(TESTS))
-def _stationarity(train: pd.Series) -> pd.Series:
-    def row(variant, x):
-        if len(x) < 4:
-            return dict(variant=variant, n=len(x))
-        tau, adf_p, adf_lags = fits.adf_test(x)
-        stat, kpss_p, kpss_lags = fits.kpss_test(x)
-        return dict(variant=variant, n=len(x), adf_stat=tau, adf_p=adf_p,
-                    adf_lags=adf_lags, kpss_stat=stat, kpss_p=kpss_p,
-                    kpss_lags=kpss_lags)
-    return pd.Series([[row("level", y), row("difference", y[1:] - y[:-1])] for y in train])
+@F.pandas_udf(ADF_TEST)
+def _adf(values: pd.Series) -> pd.DataFrame:
+    def one(x):
+        return fits.adf_test(x) if len(x) >= 4 else (None, None, None)
+    return pd.DataFrame([one(x) for x in values])
 
 
 def _fit_input(series_df, fraction):
@@ -149,15 +143,20 @@ def arima_orders(fitted):
 
 def stationarity_report(series_df, fraction=SPLIT):
     """ADF and KPSS on the train part and on its first difference, with verdicts."""
-    def verdict(is_stationary, p):
-        return F.when(p.isNull() | F.isnan(p), "undetermined").otherwise(
-            F.when(is_stationary, "stationary").otherwise("not stationary"))
-
-    tests = (_fit_input(series_df, fraction)
-             .select("series", F.inline(_stationarity("train"))))
-    adf, kpss = F.col("adf_p"), F.col("kpss_p")
-    return tests.select(
-        "series", "variant", "n", "adf_stat", F.round(adf, 6).alias("adf_p"), "adf_lags",
-        verdict(adf <= 0.05, adf).alias("adf_verdict"),
-        "kpss_stat", F.round(kpss, 6).alias("kpss_p"), "kpss_lags",
-        verdict(kpss > 0.05, kpss).alias("kpss_verdict"))
+    reach_workers(series_df.sparkSession)
+    variants = level_and_difference(with_split(spread(series_df), fraction))
+    tested = kpss(variants).select("*", _adf("x").alias("_adf")).select("*", "_adf.*")
+    adf_p, kpss_p = F.col("adf_p"), F.col("kpss_p")
+    return tested.select(
+        "series", "variant", "n", "adf_stat", F.round(adf_p, 6).alias("adf_p"), "adf_lags",
+        verdict(adf_p <= 0.05, adf_p).alias("adf_verdict"),
+        "kpss_stat", F.round(kpss_p, 6).alias("kpss_p"), "kpss_lags",
+        verdict(kpss_p > 0.05, kpss_p).alias("kpss_verdict"))
+
+
+def kpss_report(series_df, fraction=SPLIT):
+    """The KPSS half of the report, which needs no Python."""
+    tested = kpss(level_and_difference(with_split(series_df, fraction)))
+    return tested.select("series", "variant", "n", "kpss_stat", "kpss_p", "kpss_lags",
+                         verdict(F.col("kpss_p") > 0.05, F.col("kpss_p"))
+                         .alias("kpss_verdict"))

@@ -425,6 +425,39 @@ c AS (SELECT x.series, k, sum(x.z * y.z) AS c FROM z x
           ELSE 2 * (1 - c.k / (l.k + 1.0)) * c.c END)), 6) AS statistic
         FROM a CROSS JOIN generate_series(0, 8) l(k)
         JOIN c ON c.series = a.series AND c.k <= l.k GROUP BY a.series, a.n, l.k"""),
+    "kpss_verdicts": _with(source("supplier_bars"), SPLIT, """x AS (
+  SELECT series, 'level' AS variant, rn AS i, value AS v FROM sp WHERE split = 'train'
+  UNION ALL
+  SELECT series, 'difference', rn - 1, diff FROM (
+    SELECT series, rn, value - lag(value) OVER (PARTITION BY series ORDER BY rn) AS diff
+    FROM sp WHERE split = 'train') WHERE rn > 1),
+z AS (SELECT *, v - avg(v) OVER (PARTITION BY series, variant) AS z FROM x),
+cs AS (SELECT series, variant, z, sum(z) OVER (PARTITION BY series, variant ORDER BY i)
+       AS s FROM z),
+a AS (SELECT series, variant, CAST(count(*) AS INTEGER) AS n, sum(s * s) AS ss,
+             sum(z * z) / count(*) AS base FROM cs GROUP BY series, variant),
+c AS (SELECT p.series, p.variant, p.i - q.i AS k, 2 * sum(p.z * q.z) / any_value(a.n) AS g
+      FROM z p JOIN a ON a.series = p.series AND a.variant = p.variant
+      JOIN z q ON q.series = p.series AND q.variant = p.variant AND q.i < p.i
+      GROUP BY p.series, p.variant, p.i - q.i),
+l AS (SELECT a.series, a.variant, a.n, a.ss, a.base, CAST(least(floor(1.1447 *
+        pow(pow(sum(k * g) / (a.base + sum(g)), 2), 1.0 / 3) * pow(a.n, 1.0 / 3)), a.n - 1)
+        AS INTEGER) AS lags
+      FROM a JOIN c ON c.series = a.series AND c.variant = a.variant
+           AND k <= floor(pow(a.n, 2.0 / 9))
+      GROUP BY a.series, a.variant, a.n, a.ss, a.base),
+st AS (SELECT l.series, l.variant, l.n, l.lags, l.ss / (CAST(l.n AS DOUBLE) * l.n *
+        (l.base + coalesce(sum((1 - k / (l.lags + 1.0)) * g), 0))) AS stat
+       FROM l LEFT JOIN c ON c.series = l.series AND c.variant = l.variant AND k <= l.lags
+       GROUP BY l.series, l.variant, l.n, l.ss, l.base, l.lags),
+pv AS (SELECT *, CASE WHEN stat <= 0.347 THEN 0.10
+        WHEN stat <= 0.463 THEN 0.10 + (stat - 0.347) / (0.463 - 0.347) * (0.05 - 0.10)
+        WHEN stat <= 0.574 THEN 0.05 + (stat - 0.463) / (0.574 - 0.463) * (0.025 - 0.05)
+        WHEN stat <= 0.739 THEN 0.025 + (stat - 0.574) / (0.739 - 0.574) * (0.01 - 0.025)
+        ELSE 0.01 END AS p FROM st)""", """SELECT series, variant, n,
+        round(stat, 6) AS kpss_stat, CAST(round(p, 6) AS DOUBLE) AS kpss_p,
+        lags AS kpss_lags, CASE WHEN p > 0.05 THEN 'stationary' ELSE 'not stationary' END
+        AS kpss_verdict FROM pv"""),
     "linear_trend_forecast": _with(source("supplier_bars"), SPLIT, _TREND, """SELECT * REPLACE
         (round(predicted, 4) AS predicted) FROM linear_trend_p"""),
     "last_value_forecast": _with(source("customer_orders"), SPLIT, _LAST,
@@ -453,6 +486,8 @@ obs AS (SELECT * FROM sp WHERE series <> 'R')""", f"""SELECT
                                     recursive=True),
     "model_leaderboard": _from_metrics("supplier_bars", LEADERBOARD, "SELECT * FROM lb"),
     "leaderboard_flags": _from_metrics("supplier_bars", LEADERBOARD, _flags("lb")),
+    "labelled_leaderboard": _from_metrics("supplier_bars", LEADERBOARD, """SELECT model,
+        mae AS "MAE", rmse AS "RMSE", mape AS "MAPE (%)", r2 AS "R²" FROM lb"""),
     "overall_best_model": _from_metrics("supplier_bars", LEADERBOARD, """SELECT model, rmse
         FROM lb ORDER BY rmse, model LIMIT 1"""),
     **{f"metric_matrix_{metric}": _matrix(metric) for metric in METRICS},

@@ -326,6 +326,12 @@ def kpss_statistic(spark, folder):
     return rounded(out, 6, "statistic")
 
 
+@query
+def kpss_verdicts(spark, folder):
+    out = statistical.kpss_report(tables.supplier_bars(spark, folder))
+    return rounded(out, 6, "kpss_stat", "kpss_p")
+
+
 # --- forecasts SQL can state ---
 
 @query
@@ -394,6 +400,11 @@ def leaderboard_flags(spark, folder):
     return reports.flag_best(reports.leaderboard(supplier_metrics(spark, folder)))
 
 
+@query
+def labelled_leaderboard(spark, folder):
+    return reports.labelled(reports.leaderboard(supplier_metrics(spark, folder)))
+
+
 @query
 def overall_best_model(spark, folder):
     return reports.overall_best(supplier_metrics(spark, folder))
