@@ -42,24 +42,24 @@ def describe(series_df):
     )
 
 
-def autocovariance_sums(frame, value, lags):
-    """Per series: n, mean and the sums of z_t * z_(t-k) for k in 0..lags, as an array.
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
+                       lambda acc, x: acc + x)
+
 
-    The lagged copies come from one window pass over (series, date), which is the
-    partitioning and order the frame already has.
+def _arrays(df, keys, columns, *aggregates):
+    """One row per key with the columns as arrays in ``rn`` order.
+
+    An array holds at most one element per calendar day. It is a column of its own: as a
+    mere field of the gathered rows it would be read out again for every element used.
     """
-    centred = frame.select(
-        "series", "date",
-        (F.col(value) - F.avg(value).over(whole_series())).alias("z"))
-    products = [(F.col("z") * F.lag("z", k).over(by_date())).alias(f"c{k}")
-                for k in range(1, lags + 1)]
-    sums = (centred.select("series", "z", *products).groupBy("series").agg(
-        F.count("z").alias("n"),
-        F.sum(F.col("z") * F.col("z")).alias("c0"),
-        *[F.coalesce(F.sum(f"c{k}"), F.lit(0.0)).alias(f"c{k}")
-          for k in range(1, lags + 1)]))
-    return sums.select("series", "n",
-                       F.array(*[f"c{k}" for k in range(lags + 1)]).alias("c"))
+    gathered = df.groupBy(*keys).agg(
+        *aggregates, F.sort_array(F.collect_list(F.struct("rn", *columns))).alias("_rows"))
+
+    def field(name):
+        return F.transform("_rows", lambda row: row[name]).alias(name)
+
+    return gathered.select("*", *[field(c) for c in columns]).drop("_rows")
 
 
 def _difference_correlations(series_df, lags, fraction, rows_per_lag):
@@ -68,13 +68,16 @@ def _difference_correlations(series_df, lags, fraction, rows_per_lag):
     K is ``lags``, or less where the train part has not ``rows_per_lag`` rows for each. A
     constant series has no correlations and is left out.
     """
-    sums = autocovariance_sums(first_difference(series_df, fraction), "diff", lags)
-    train_rows = F.col("n") + 1
-    usable = F.least(F.lit(lags), F.floor(train_rows / rows_per_lag).cast("int"))
-    return (sums.filter(F.col("c")[0] > 0)
-            .select("series", "n", F.slice("c", F.lit(1), usable + 1).alias("c"))
-            .select("series", "n",
-                    F.transform("c", lambda x: x / F.col("c")[0]).alias("r")))
+    centred = first_difference(series_df, fraction).select(
+        "series", "rn", (F.col("diff") - F.avg("diff").over(whole_series())).alias("z"))
+    packed = _arrays(centred, ["series"], ["z"], F.count("z").cast("int").alias("n"),
+                     F.sum(F.col("z") * F.col("z")).alias("_c0")).filter(F.col("_c0") > 0)
+    n, z = F.col("n"), F.col("z")
+    most = F.least(F.lit(lags), F.floor((n + 1) / rows_per_lag).cast("int"), n - 1)
+    return packed.select("series", "n", F.transform(
+        F.sequence(F.lit(0), most),
+        lambda k: _dot(F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k))
+        / F.col("_c0")).alias("r"))
 
 
 def _acf_values():
@@ -249,11 +252,6 @@ def kpss_statistic(series_df, max_lag=8, fraction=SPLIT):
     return sums.select("series", "n", F.posexplode(values).alias("lags", "statistic"))
 
 
-def _dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
-                       lambda acc, x: acc + x)
-
-
 def level_and_difference(split_df):
     """(series, variant, rn, x): the train values and their differences, from split rows."""
     step = F.col("value") - F.lag("value", 1).over(by_date())
@@ -280,14 +278,10 @@ def kpss(variants):
         W.unboundedPreceding, 0)
     centred = variants.select("*", (F.col("x") - F.avg("x").over(whole)).alias("z"))
     summed = centred.select("*", F.sum("z").over(so_far).alias("s"))
-    packed = summed.groupBy("series", "variant").agg(
-        F.count("x").cast("int").alias("n"),
-        F.avg(F.col("z") * F.col("z")).alias("_base"),
-        F.sum(F.col("s") * F.col("s")).alias("_ss"),
-        F.sort_array(F.collect_list(F.struct("rn", "x", "z", "s"))).alias("_rows"))
-    arrays = packed.select(
-        "series", "variant", "n", "_base", "_ss",
-        *[F.col(f"_rows.{c}").alias(c) for c in ("x", "z", "s")])
+    arrays = _arrays(summed, ["series", "variant"], ["x", "z", "s"],
+                     F.count("x").cast("int").alias("n"),
+                     F.avg(F.col("z") * F.col("z")).alias("_base"),
+                     F.sum(F.col("s") * F.col("s")).alias("_ss"))
 
     n, z = F.col("n"), F.col("z")
     enough = (n >= 4) & (F.col("_base") > 0)

@@ -18,8 +18,6 @@ from tidecast.sources.schema import (
 MAX_HEADERS = 1000
 _HEADER_BYTES = 65536
 
-_FILE_KEY = r"(\w+)_(\d{4})_(\d{4})(?:\.csv)?$"
-
 
 def read_raw(spark, folder):
     """All ``*.csv`` of a folder in one scan, every column as text.
@@ -149,13 +147,19 @@ def upload_to_series(raw, target=TARGET, name="upload"):
 def with_file_key(df):
     """Series and year range from the file name ``{series}_{from}_{to}.csv``.
 
-    Takes the part folder where a Spark writer made one per file key.
+    Takes the folder of that name where a Spark writer made one per file key.
     """
-    path = F.regexp_replace(F.col("_metadata.file_path"), r"(_\d{4}_\d{4})/[^/]*$", "$1")
-    part = lambda i: F.regexp_extract(path, _FILE_KEY, i)
-    return df.select("*", part(1).alias("file_series"),
-                     part(2).try_cast("int").alias("year_from"),
-                     part(3).try_cast("int").alias("year_to"))
+    path = F.col("_metadata.file_path")
+    name = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    named = F.when(name.endswith(".csv") & F.rlike(name, F.lit(r"_\d{4}_\d{4}\.csv$")),
+                   F.substring_index(name, ".", 1)).otherwise(
+                       F.replace(folder, F.lit("file_key="), F.lit("")))
+    key = F.when(F.rlike(named, F.lit(r"^\w+_\d{4}_\d{4}$")), named)
+    size = F.length(key)
+    return df.select("*", key.substr(F.lit(1), size - 10).alias("file_series"),
+                     key.substr(size - 8, F.lit(4)).try_cast("int").alias("year_from"),
+                     key.substr(size - 3, F.lit(4)).try_cast("int").alias("year_to"))
 
 
 def file_key(series, year_from, year_to):
