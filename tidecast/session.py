@@ -26,15 +26,15 @@ def local_session(app="tidecast", cpus=8, **conf):
 
 
 def reach_workers(spark):
-    """Let the Python workers of a local session import this package.
+    """Let Python workers that see this folder import the package.
 
-    A cluster gets it with ``--py-files``.
+    Workers on other machines get it with ``--py-files``.
     """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if spark.sparkContext.master.startswith("local") and root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
 
 
 def shared_dir(spark):
