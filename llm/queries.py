@@ -1,6 +1,8 @@
 """The queries of this subpackage and their SQL counterparts."""
 
-from llm import exact_dedup
+import public_tokenizers
+
+from llm import byte_bpe, chat_format, exact_dedup, license_scan, secret_scan, url_filter, warc
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -18,3 +20,36 @@ def query(sql=None):
 @query(exact_dedup.SQL)
 def op9_exact_dedup(spark, folder):
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
+
+
+@query()
+def op10_url_filter(spark, folder):
+    return url_filter.filter_urls(table(spark, folder, "pages"))
+
+
+@query(chat_format.SQL)
+def op7_chat_format(spark, folder):
+    rows = chat_format.with_added(table(spark, folder, "conversations"))
+    return chat_format.digests(chat_format.format_conversations(rows))
+
+
+@query()
+def op3_secret_scan(spark, folder):
+    return secret_scan.scan_secrets(table(spark, folder, "documents"))
+
+
+@query()
+def op6_license_scan(spark, folder):
+    return license_scan.scan_licenses(table(spark, folder, "documents"))
+
+
+@query()
+def op5_byte_bpe(spark, folder):
+    docs = table(spark, folder, "documents")
+    return byte_bpe.round_trip(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query(warc.SQL)
+def op4_warc(spark, folder):
+    return warc.through_archives(table(spark, folder, "pages"))
