@@ -2,7 +2,8 @@
 
 import public_tokenizers
 
-from llm import byte_bpe, chat_format, exact_dedup, license_scan, secret_scan, url_filter, warc
+from llm import (
+    byte_bpe, chat_format, exact_dedup, license_scan, quality, secret_scan, url_filter, warc)
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -53,3 +54,8 @@ def op5_byte_bpe(spark, folder):
 @query(warc.SQL)
 def op4_warc(spark, folder):
     return warc.through_archives(table(spark, folder, "pages"))
+
+
+@query()
+def op8_quality(spark, folder):
+    return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
