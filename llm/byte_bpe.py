@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
+from llm.frames import mapped
 from llm.words import slices
 
 #: Pre-tokens whose ids a worker keeps, and the longest that it keeps.
@@ -187,13 +188,13 @@ def encode(docs, path, pattern):
     are left out; an empty table gives an empty result.
     """
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return pairs.mapInArrow(_encoded(_shared(docs, path), pattern), "doc_id long, ids binary")
+    return mapped(pairs, _encoded(_shared(docs, path), pattern), "doc_id long, ids binary")
 
 
 def decode(encoded, path, pattern):
     """Adds ``decoded``, the bytes that the ids stand for, to ``encoded(doc_id, ids)``."""
-    return encoded.select("doc_id", "ids").mapInArrow(
-        _decoded(_shared(encoded, path), pattern), "doc_id long, ids binary, decoded binary")
+    return mapped(encoded.select("doc_id", "ids"), _decoded(_shared(encoded, path), pattern),
+                  "doc_id long, ids binary, decoded binary")
 
 
 def round_trip(docs, path, pattern):

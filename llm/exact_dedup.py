@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from llm.frames import parallelism, written
+from llm.frames import mapped, parallelism, written
 from llm.words import UNSPACED, slices, utf8
 
 #: Text bytes that one table may hold, and that one bucket should hold.
-TABLE_BYTES = 48 << 20
-BUCKET_BYTES = 32 << 20
+TABLE_BYTES = 16 << 20
+BUCKET_BYTES = 12 << 20
 
 
 class OpenTable:
@@ -175,7 +175,7 @@ def exact_dedup(docs, bucket_bytes=BUCKET_BYTES):
     """
     spark = docs.sparkSession
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    folded = written(pairs.mapInArrow(_fold, _FOLDED), "folded")
+    folded = written(mapped(pairs, _fold, _FOLDED), "folded")
     level, left, settled = 0, folded.where("text IS NOT NULL").drop("row", "id"), []
     while True:
         size = left.agg(F.sum(F.length("text") + 200)).first()[0] or 0
@@ -183,7 +183,7 @@ def exact_dedup(docs, bucket_bytes=BUCKET_BYTES):
             break
         buckets = max(parallelism(spark), -(-size // bucket_bytes))
         dealt = left.repartition(buckets, F.xxhash64(F.lit(level), "digest"))
-        done = written(dealt.mapInArrow(_settle, _SETTLED), f"bucket-level-{level}")
+        done = written(mapped(dealt, _settle, _SETTLED), f"bucket-level-{level}")
         settled.append(done.where("text IS NULL").drop("digest", "text"))
         left = done.where("text IS NOT NULL").select(
             "rep", F.col("group_size").alias("copies"), F.col("keep_id").alias("least"),

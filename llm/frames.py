@@ -22,6 +22,16 @@ def written(frame: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker: rows may be long.
+BATCH_BYTES = 4 << 20
+
+
+def mapped(frame: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, not only in rows."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return frame.mapInArrow(function, schema)
+
+
 def lower_ascii(column):
     """A-Z in lower case, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from llm.frames import mapped
 from llm.words import ALNUM, Words, slices, utf8
 
 # Phrases that name a licence, and their labels.
@@ -149,8 +150,8 @@ def _counted(index):
 
 def inverse_frequencies(docs, index):
     """Inverse document frequency of every template word over all documents."""
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(
-        _counted(index), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = mapped(docs.select(F.col("text").cast("string")), _counted(index),
+                    "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = dict(counts.collect())  # one row for each word of the templates
     n = counts.get(-1, 0)
     return np.array([math.log((n + 1) / (counts.get(w, 0) + 1))
@@ -212,4 +213,4 @@ def scan_licenses(docs, templates=None, phrases=None):
     """
     index = Index(templates, phrases)
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return pairs.mapInArrow(_scan(index, inverse_frequencies(pairs, index)), _OUT)
+    return mapped(pairs, _scan(index, inverse_frequencies(pairs, index)), _OUT)

@@ -3,7 +3,8 @@
 import public_tokenizers
 
 from llm import (
-    byte_bpe, chat_format, exact_dedup, license_scan, quality, secret_scan, url_filter, warc)
+    byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, quality, secret_scan,
+    url_filter, warc)
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -59,3 +60,9 @@ def op4_warc(spark, folder):
 @query()
 def op8_quality(spark, folder):
     return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(decontaminate.SQL)
+def op1_decontaminate(spark, folder):
+    return decontaminate.decontaminate(table(spark, folder, "documents"),
+                                       table(spark, folder, "benchmark"))

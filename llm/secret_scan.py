@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from llm.frames import mapped
+
 # The base patterns and the smallest length of what must match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -173,4 +175,4 @@ def scan_secrets(docs, reach=REACH):
     ``doc_id`` and repeated rows stay as they are, an empty table gives an empty result.
     """
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return pairs.mapInArrow(_scan(reach), _OUT)
+    return mapped(pairs, _scan(reach), _OUT)

@@ -15,7 +15,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from llm.frames import scratch_path
+from llm.frames import mapped, scratch_path
 from llm.words import slices
 
 #: Code points in a chunk and in a segment; records in an archive file.
@@ -125,7 +125,7 @@ def write_archives(pages, path, segment=SEGMENT):
     Spark's text writer closes each record with the two line ends that the format asks for,
     so the files land wherever Spark can write and a lost task is simply run again.
     """
-    with_revisits(pages).mapInArrow(_rendered(segment), "value string").write \
+    mapped(with_revisits(pages), _rendered(segment), "value string").write \
         .option("lineSep", "\r\n\r\n").option("compression", "gzip") \
         .option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
@@ -237,8 +237,8 @@ def read_archives(spark, path):
     from its header. Only records in segments are shuffled, by origin identifier. Files that
     hold no record give no row.
     """
-    parts = spark.read.format("binaryFile").load(path).select("content") \
-        .mapInArrow(_parsed, _PARTS)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    parts = mapped(files, _parsed, _PARTS)
     columns = ["type", "page_id", "refers_to", "digest", "total", "blocks"]
     whole = parts.where("segment IS NULL").withColumn("blocks", F.array("block")).select(columns)
     groups = parts.where("segment IS NOT NULL").groupBy("origin").agg(
@@ -251,7 +251,7 @@ def read_archives(spark, path):
     groups = groups.withColumns({
         "total": F.when(numbered, F.col("total")).otherwise(-1),
         "blocks": F.col("parts.block")}).select(columns)
-    return whole.unionByName(groups).mapInArrow(_decoded, _PAGES)
+    return mapped(whole.unionByName(groups), _decoded, _PAGES)
 
 
 def through_archives(pages):
