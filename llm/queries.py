@@ -3,8 +3,8 @@
 import public_tokenizers
 
 from llm import (
-    byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, quality, secret_scan,
-    url_filter, warc)
+    byte_bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality,
+    secret_scan, url_filter, warc)
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -66,3 +66,8 @@ def op8_quality(spark, folder):
 def op1_decontaminate(spark, folder):
     return decontaminate.decontaminate(table(spark, folder, "documents"),
                                        table(spark, folder, "benchmark"))
+
+
+@query(jaccard_join.SQL)
+def op2_jaccard_join(spark, folder):
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"), 3, 90, 100)
