@@ -189,10 +189,11 @@ def train(docs, labels, rows=SAMPLE_ROWS, size=SAMPLE_BYTES):
         chosen = some if chosen is None else chosen.unionByName(some)
     if chosen is None:
         return None
+    # At most 2 * rows ids are broadcast.
     texts = docs.select("doc_id", F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")),
                                            "UTF-8").alias("text")) \
         .join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id") \
-        .withColumn("size", F.length("text"))  # at most 2 * rows ids are broadcast
+        .select("doc_id", "quality", "text", F.length("text").alias("size"))
     sizes = texts.select("doc_id", "quality", "size").collect()
     kept, total = set(), 0
     for doc_id, _, n in sorted(sizes, key=lambda r: (r["size"], r["doc_id"])):
@@ -236,6 +237,27 @@ def score_quality(docs, network):
     return mapped(pairs, _scored(shared), _OUT)
 
 
+def _sifted(shared, threshold):
+    def sift(batches):
+        w = shared.value
+        for whole in batches:
+            for batch in slices(whole, "text", 1 << 20):
+                if w:
+                    p = score_block(w, *utf8(batch.column("text")))
+                    batch = batch.filter(pa.array(p >= threshold))
+                yield batch
+    return sift
+
+
+def sifted(docs, labels, threshold=THRESHOLD):
+    """The rows of ``docs`` with all their columns, without those the network rejects.
+
+    Without labels there is no network and every row stays.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    return mapped(docs, _sifted(shared, threshold), docs.schema)
+
+
 def judged(docs, labels, threshold=THRESHOLD):
     """The columns of op8."""
     return score_quality(docs, train(docs, labels)).select(
