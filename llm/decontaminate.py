@@ -88,8 +88,7 @@ def _indexed(segment_bytes):
 def build_index(docs, segment_bytes=SEGMENT_BYTES):
     """The stored index of every word of ``docs(doc_id, text)``; one row for a segment."""
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return written(mapped(pairs, _indexed(segment_bytes), _INDEX), "postings",
-                   **{"compression": "zstd", "parquet.block.size": 16 << 20})
+    return written(mapped(pairs, _indexed(segment_bytes), _INDEX), "postings", compression="zstd")
 
 
 class Phrases:
