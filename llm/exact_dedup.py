@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.frames import mapped, parallelism, written
 from llm.words import UNSPACED, slices, utf8
@@ -203,6 +204,25 @@ def exact_dedup(docs, bucket_bytes=BUCKET_BYTES):
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _digested(batches):
+    for whole in batches:
+        for batch in slices(whole, "text", 4 << 20):
+            digests = [hashlib.sha256(text).digest() for text in squeezed(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "digest*"])
+
+
+def deduplicated(docs):
+    """The rows of ``docs`` with all their columns, one of each group of equal texts."""
+    kept = exact_dedup(docs).where("kept").select(
+        F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest"))
+    rows = mapped(docs, _digested, T.StructType(
+        [*docs.schema.fields, T.StructField("digest*", T.BinaryType())]))
+    on = rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["`digest*`"] == kept["kept_digest"])
+    # Rows that repeat id and text are still together; one of them stays.
+    return rows.join(kept, on, "left_semi").dropDuplicates(["doc_id", "digest*"]).drop("digest*")
+
+
 #: The result of op9 in DuckDB's SQL.
 SQL = r"""
 WITH t AS (

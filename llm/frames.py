@@ -18,7 +18,8 @@ def written(frame: DataFrame, label: str, **options) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.options(**options).parquet(path)
+    # Small row groups: a writer holds one in memory, and rows may be long.
+    frame.write.options(**{"parquet.block.size": 16 << 20, **options}).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -26,12 +27,18 @@ def written(frame: DataFrame, label: str, **options) -> DataFrame:
 BATCH_BYTES = 4 << 20
 
 
-def mapped(frame: DataFrame, function, schema: str) -> DataFrame:
+def mapped(frame: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, not only in rows."""
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return frame.mapInArrow(function, schema)
 
 
+def without(frame: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose key (a null is a key too) isn't among ``dropped(key)``."""
+    gone = dropped.select(F.col(key).alias("gone")).distinct()
+    return frame.join(gone, frame[key].eqNullSafe(gone["gone"]), "left_anti")
+
+
 def lower_ascii(column):
     """A-Z in lower case, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
