@@ -111,10 +111,13 @@ def _gradient(w, parts, first, sizes, labels, weights):
     counts = np.diff(start_of)
     text = np.repeat(np.arange(len(labels)), counts)
     d_high, d_mean, d_low = np.split(dfeature, 3, axis=1)
-    is_high, is_low = active == high[text], active == low[text]
+    # Neighbouring chunks share a segment, so the extreme one often stands there twice.
+    is_high, is_low = (active == high[text]).astype(float), (active == low[text]).astype(float)
+    is_high /= np.add.reduceat(is_high, start_of[:-1])[text]
+    is_low /= np.add.reduceat(is_low, start_of[:-1])[text]
     dactive = d_mean[text] / counts[text][:, None] + is_high * d_high[text] + is_low * d_low[text]
     dvalue = dactive * (1 - active ** 2)
-    dbest = np.zeros_like(best)
+    dbest = np.zeros(best.shape, dtype=w["filters"].dtype)
     f = np.broadcast_to(np.arange(FILTERS), dvalue.shape)
     np.add.at(dbest, (source, f), dvalue)
     s, f = np.nonzero(dbest)
