@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from llm.frames import mapped
 from llm.words import slices
 
-#: Pre-tokens whose ids a worker keeps, and the longest that it keeps.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
+#: Pre-tokens whose ids a worker keeps in each of two generations, and the longest kept.
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 48
 
 
 def parse_ranks(content):
@@ -99,19 +99,26 @@ def merged(word, ranks):
 
 
 class _Known(dict):
-    """Packed ids of pre-tokens, computed when first asked for."""
+    """Packed ids of pre-tokens, computed when first asked for.
+
+    When the dictionary is full it becomes the older generation, from which what is asked
+    for again is taken over; so words that keep coming stay known in bounded memory.
+    """
 
     def __init__(self, ranks):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.older = ranks, {}
 
     def __missing__(self, token):
-        word = token.encode()
-        rank = self.ranks.get(word)
-        packed = np.array([rank] if rank is not None else merged(word, self.ranks),
-                          dtype="<u4").tobytes()
+        packed = self.older.get(token)
+        if packed is None:
+            word = token.encode()
+            rank = self.ranks.get(word)
+            packed = np.array([rank] if rank is not None else merged(word, self.ranks),
+                              dtype="<u4").tobytes()
         if len(token) <= CACHE_CHARS:
             if len(self) >= CACHE_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[token] = packed
         return packed
