@@ -56,6 +56,44 @@ def test_scan_of_one_header(spark, folder):
     assert csv_scan.scan_files(spark, str(folder)).count() == 3
 
 
+@pytest.mark.parametrize("more", [False, True])
+def test_odd_files_read_alike_beside_one_header_or_two(spark, folder, more):
+    write(folder, "x#1 a%20b.csv", HEADER, record(1, "04/01/2026", "HASH", "5"))
+    write(folder, "blank.csv", "", "  ", HEADER, record(1, "05/01/2026", "LATE", "6"))
+    (folder / "bom.csv").write_bytes(
+        b"\xef\xbb\xbf" + f"{HEADER}\r\n{record(1, '06/01/2026', 'BOM', '7')}\r\n".encode())
+    (folder / "broken.csv").write_bytes(b"\xff\xfe\x00bad\xff\n1,2\n")
+    (folder / "torn.csv.gz").write_bytes(b"\x1f\x8b\x08\x00not gzip at all")
+    if more:
+        write(folder, "other.csv", 'Ticker,"Close, ""net""",Date', "OTHER,1,07/01/2026")
+    raw = csv_scan.scan_files(spark, str(folder), "*.csv*")
+    tickers = {"AAA", "BBB", "HASH", "LATE", "BOM"} | ({"OTHER"} if more else set())
+    assert {r.Ticker for r in raw.collect()} == tickers
+    status = {r.file_path.rsplit("/", 1)[1]: r.status
+              for r in csv_scan.file_status(spark, str(folder), "*.csv*").collect()}
+    assert status["broken.csv"] == status["torn.csv.gz"] == "unreadable"
+    assert ('Close, "net"' in raw.columns) == more
+
+
+def test_wide_header_and_many_headers(spark, tmp_path):
+    names = [f"column_{i:05d}_of_a_wide_file" for i in range(3000)]
+    write(tmp_path, "wide.csv", ",".join(names), ",".join(map(str, range(3000))))
+    row = csv_scan.scan_files(spark, str(tmp_path)).select(names[0], names[-1]).first()
+    assert tuple(row) == ("0", "2999")
+    (tmp_path / "many").mkdir()
+    for i in range(1001):
+        write(tmp_path / "many", f"{i}.csv", f"b{i % 3},a{'x' * i}", f"{i},t")
+    many = csv_scan.scan_files(spark, str(tmp_path / "many"))
+    assert len(many.columns) == 1004
+    assert many.agg(F.count("b0"), F.count("b1"), F.count("b2")).first() == (334, 334, 333)
+
+
+def test_no_readable_file_is_an_error(spark, tmp_path):
+    (tmp_path / "broken.csv").write_bytes(b"\xff\xfe\x00bad\xff\n1,2\n")
+    with pytest.raises(ValueError, match="unreadable"):
+        csv_scan.scan_files(spark, str(tmp_path))
+
+
 def test_scan_of_nothing(spark, tmp_path):
     out = csv_scan.scan_files(spark, str(tmp_path))
     assert out.columns == RAW_COLUMNS and out.count() == 0

@@ -1,23 +1,14 @@
 """Reading directories of raw daily CSV files into the canonical series."""
 
-import csv
-import re
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions.text import clean_number, parse_day, parse_day_lenient
 from tidecast.operators.series import to_series
-from tidecast.session import reach_workers
 from tidecast.sources.schema import (
     FORMATTED_COLUMNS, PLAIN_NUMERIC_COLUMNS, RAW_SCHEMA, TARGET)
 
-# A directory holding more kinds of header than this is not a set of daily files.
-MAX_HEADERS = 1000
-_HEADER_BYTES = 65536
-
 
 def read_raw(spark, folder):
     """All ``*.csv`` of a folder in one scan, every column as text.
@@ -29,39 +20,40 @@ def read_raw(spark, folder):
 
 
 def file_status(spark, folder, pattern="*.csv"):
-    """(file_path, header, status, error) of every file, from its first bytes.
+    """(file_path, header, status, error) of every file, all by Spark's own readers.
 
-    The listing is Spark's own and carries no file contents; the tasks open the files. A
-    file that cannot be opened or decoded, or that has no header, gets a status instead of
-    ending the job; files of zero length are not listed. Raises AnalysisException where nothing matches.
+    The header is the first line that isn't blank. A file whose header isn't UTF-8 is
+    unreadable, one without any line is empty, and one whose bytes cannot be read (a broken
+    compressed file, say) is unreadable too. Raises AnalysisException where nothing matches.
     """
-    reach_workers(spark)
-    listing = (spark.read.format("binaryFile").load(f"{folder}/{pattern}")
-               .select("path", F.col("_metadata.file_path").alias("file_path")))
-    schema = "file_path string, header string, status string, error string"
-
-    def first_line(path):
-        from pyarrow import fs
-        # Spark writes local paths with one slash
-        uri = re.sub("^file:/+", "file:///", path)
-        system, inner = fs.FileSystem.from_uri(uri.replace(" ", "%20"))
-        with system.open_input_stream(inner) as stream:
-            return stream.read(_HEADER_BYTES).split(b"\n", 1)[0].decode("utf-8-sig").strip()
-
-    def describe(batches):
-        for batch in batches:
-            rows = []
-            for path, file_path in zip(batch["path"], batch["file_path"]):
-                try:
-                    line = first_line(path)
-                    rows.append((file_path, line, "ok", None) if line
-                                else (file_path, None, "empty", "no header"))
-                except Exception as error:
-                    rows.append((file_path, None, "unreadable",
-                                 f"{type(error).__name__}: {error}"))
-            yield pd.DataFrame(rows, columns=["file_path", "header", "status", "error"])
-
-    return listing.mapInPandas(describe, schema)
+    location = f"{folder}/{pattern}"
+    listed = (spark.read.format("binaryFile").load(location)
+              .select(F.col("_metadata.file_path").alias("file_path"), "length"))
+    blank = F.trim(F.regexp_replace("value", "^\ufeff|[\r\t]", "")) == ""
+    lines = (spark.read.option("ignoreCorruptFiles", True).text(location)
+             .select(F.col("_metadata.file_path").alias("file_path"), "value",
+                     F.struct(F.col("_metadata.file_block_start"),
+                              F.monotonically_increasing_id()).alias("place")))
+    first = lines.groupBy("file_path").agg(
+        F.min_by("value", F.when(~blank, F.col("place"))).alias("line"),
+        F.count(F.lit(1)).alias("lines"))
+    valid = F.is_valid_utf8("line")
+    known = listed.join(first, "file_path", "left")
+    return known.select(
+        "file_path",
+        F.when(valid, F.trim(F.regexp_replace("line", "^\ufeff|\r$", ""))).alias("header"),
+        F.when(F.col("lines").isNull() & (F.col("length") > 0), "unreadable")
+        .when(F.col("line").isNull(), "empty")
+        .when(valid, "ok").otherwise("unreadable").alias("status"),
+        F.when(F.col("line").isNull(), "no header").when(~valid, "header isn't UTF-8")
+        .alias("error"))
+
+
+def _names(header):
+    """The column names of a CSV header line, quotes undone."""
+    cells = F.regexp_extract_all(header, F.lit(r'(?:^|,)\s*("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(cells, lambda c: F.trim(F.replace(
+        F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))))
 
 
 def _text_schema(names):
@@ -71,47 +63,44 @@ def _text_schema(names):
 def scan_files(spark, folder, pattern="*.csv"):
     """Rows of all readable files, columns matched by name, everything as text.
 
-    Spark matches CSV columns by position. Files that share one header are read as they
-    are. Otherwise one positional scan reads them all, and every row takes its names from
-    the header of its file; a column a file lacks is null. Only the distinct headers reach
-    the driver. Empty, with the raw columns, where no file is readable.
+    Spark matches CSV columns by position, so one positional scan reads all files and every
+    row finds its columns by the header of its file; a column a file lacks is null. Rows
+    meet their header by (file, block), so one large file is not one key. Only the distinct
+    column names reach the driver. Files that are no CSV text are left out and named by
+    ``file_status``; where files exist and none is readable that is an error. Empty, with
+    the raw columns, where no file matches.
     """
-    empty = spark.createDataFrame([], RAW_SCHEMA)
     try:
         status = file_status(spark, folder, pattern)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty
-    readable = status.filter(F.col("status") == "ok")
-    found = readable.select("header").distinct().limit(MAX_HEADERS + 1).collect()
-    if len(found) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers under {folder}")
+        return spark.createDataFrame([], RAW_SCHEMA)
+    readable = status.filter(F.col("status") == "ok").select(
+        "file_path", _names(F.col("header")).alias("names"))
+    found = readable.select(F.posexplode("names").alias("place", "name")).groupBy("name").agg(
+        F.min("place").alias("place")).orderBy("place", "name").collect()
     if not found:
-        return empty
-    headers = sorted(row["header"] for row in found)
-    columns = [[c.strip() for c in next(csv.reader([h]))] for h in headers]
-    location = f"{folder}/{pattern}"
-    if len(headers) == 1:
-        return spark.read.schema(_text_schema(columns[0])).csv(location, header=True)
-
-    width = max(len(c) for c in columns)
-    rows = spark.read.schema(_text_schema([f"_c{i}" for i in range(width)])).csv(
-        location, header=True).select("*", F.col("_metadata.file_path").alias("file_path"))
-    number = F.create_map(*[F.lit(x) for pair in zip(headers, range(len(headers)))
-                            for x in pair])
-    kinds = readable.select("file_path", number[F.col("header")].alias("_kind"))
-
-    def by_name(name):
-        places = {}
-        for kind, names in enumerate(columns):
-            if name in names:
-                places.setdefault(names.index(name), []).append(kind)
-        return F.coalesce(*[F.when(F.col("_kind").isin(kinds_here), F.col(f"_c{i}"))
-                            for i, kinds_here in places.items()]).alias(name)
-
-    names = list(dict.fromkeys(c for group in columns for c in group))
-    return rows.join(kinds, "file_path").select(*[by_name(n) for n in names])
+        failed = status.groupBy("status").count().collect()
+        if failed:
+            raise ValueError(f"no file under {folder} is readable: {dict(map(tuple, failed))}")
+        return spark.createDataFrame([], RAW_SCHEMA)
+    width = readable.agg(F.max(F.size("names"))).first()[0]
+    reader = spark.read.option("ignoreCorruptFiles", True)
+    rows = reader.schema(_text_schema([f"_c{i}" for i in range(width)])).csv(
+        f"{folder}/{pattern}", header=True, maxColumns=max(width, 20480)).select(
+        F.array(*[f"_c{i}" for i in range(width)]).alias("cells"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"))
+    places = F.array(*[F.array_position("names", r["name"]).cast("int") - 1 for r in found])
+    blocks = rows.select("file_path", "block").distinct().join(
+        readable.select("file_path", places.alias("places")), "file_path")
+
+    def cell(i):
+        place = F.get("places", F.lit(i))
+        return F.when(place >= 0, F.get("cells", place))
+    return rows.join(blocks, ["file_path", "block"]).select(
+        *[cell(i).alias(r["name"]) for i, r in enumerate(found)])
 
 
 def clean_columns(raw, columns=FORMATTED_COLUMNS):
@@ -153,9 +142,9 @@ def with_file_key(df):
     name = F.substring_index(path, "/", -1)
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     named = F.when(name.endswith(".csv") & F.rlike(name, F.lit(r"_\d{4}_\d{4}\.csv$")),
-                   F.substring_index(name, ".", 1)).otherwise(
+                   F.regexp_replace(name, r"\.csv$", "")).otherwise(
                        F.replace(folder, F.lit("file_key="), F.lit("")))
-    key = F.when(F.rlike(named, F.lit(r"^\w+_\d{4}_\d{4}$")), named)
+    key = F.when(F.rlike(named, F.lit(r"^.+_\d{4}_\d{4}$")), named)
     size = F.length(key)
     return df.select("*", key.substr(F.lit(1), size - 10).alias("file_series"),
                      key.substr(size - 8, F.lit(4)).try_cast("int").alias("year_from"),
