@@ -8,7 +8,7 @@ from tidecast.session import local_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("checkpoints"))
-    session = local_session("tests", 4, **{"spark.checkpoint.dir": folder})
+    session = local_session("tests", 4, **{"spark.checkpoint.dir": folder, "spark.driver.memory": "6g"})
     yield session
     session.stop()
 

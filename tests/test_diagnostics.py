@@ -43,8 +43,10 @@ def test_acf(make_series):
 
 
 def test_lags_shrink_with_a_short_series(make_series):
-    # 48 train rows: 16 lags
-    assert diagnostics.acf(make_series(a=walk(60))).count() == 17
+    # 48 train rows: 16 lags where three rows are asked for each, else 40; 8 rows: 6 lags
+    assert diagnostics.acf(make_series(a=walk(60)), rows_per_lag=3).count() == 17
+    assert diagnostics.acf(make_series(a=walk(60))).count() == 41
+    assert diagnostics.acf(make_series(a=walk(10))).count() == 7
 
 
 def test_pacf_solves_yule_walker(make_series):
@@ -59,8 +61,12 @@ def test_pacf_solves_yule_walker(make_series):
     assert rows[3].hi - rows[3].value == pytest.approx(1.959964 / np.sqrt(159))
 
 
-def test_constant_series_has_no_correlogram(make_series):
-    assert diagnostics.correlograms(make_series(a=[5] * 60)).count() == 0
+def test_no_series_vanishes_from_the_correlograms(make_series):
+    source = make_series(a=[5] * 60, line=range(60), one=[1], two=[1, 2], three=[1, 2, 4])
+    rows = diagnostics.correlograms(source).collect()
+    assert {r.series for r in rows} == {"a", "line", "three"}
+    assert all(r.value is None for r in rows)
+    assert {r.series for r in diagnostics.no_correlogram(source).collect()} == {"one", "two"}
 
 
 def decomposed(make_series, n):

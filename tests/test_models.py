@@ -152,3 +152,48 @@ def test_quick_analysis(make_series):
     assert sizes == {"split_counts": 1, "describe": 1, "overview": 100, "rolling": 80,
                      "difference": 79, "stationarity": 2, "correlograms": 2 * 27,
                      "forecast": 40, "metrics": 2}
+
+
+def test_forest_ignores_the_session(spark, make_series):
+    df = make_series(**{f"s{i}": walk(60, i) for i in range(6)})
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in ("2", "4", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            for name in ("Random Forest", "GBT"):
+                model = pooled.regressor(name)
+                assert model.getSeed() == 42
+            found.append(sorted(tuple(r) for r in pooled.pooled_forecast(
+                df, ["Random Forest"])[0].collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+
+
+def test_short_load_runs_without_pooled_models(make_series):
+    run = forecast_run(make_series(a=walk(11, 1)))
+    assert {r.model for r in run.metrics.collect()} == {"ARIMA", "Holt-Winters"}
+    assert set(run.skipped) == set(pooled.POOLED)
+    orders = run.orders.first()
+    assert orders.fallback is None and orders.converged is not None
+    run.release()
+
+
+def test_every_baseline_predicts_the_same_rows(make_series):
+    df = make_series(a=walk(9, 1), two=[1, 4], three=[2, 2, 5], one=[3])
+    frames = [baselines.last_value(df), baselines.linear_trend(df),
+              baselines.holt_on_grid(df, [(0.2, 0.1), (0.8, 0.1)])]
+    rows = [{(r.series, r.date) for r in f.collect()} for f in frames]
+    assert rows[0] == rows[1] == rows[2]
+    assert predicted(frames[2], "two") == [1.0]
+
+
+def test_only_numeric_failures_are_fallbacks():
+    import pandas as pd
+
+    def wrong(rows):
+        raise TypeError("a coding error")
+    with pytest.raises(TypeError):
+        statistical._in_groups(pd.Series([[1.0, 2.0]]), wrong)
+

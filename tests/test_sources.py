@@ -129,7 +129,7 @@ def test_file_keys(spark, folder, tmp_path):
     assert (keyed.file_series, keyed.year_from, keyed.year_to) == ("AAA", 2018, 2026)
     out = str(tmp_path / "written")
     csv_scan.write_raw(raw, out, 2018, 2026)
-    back = csv_scan.with_file_key(csv_scan.read_written(spark, out))
+    back = csv_scan.read_written(spark, out)
     assert {(r.Ticker, r.file_series) for r in back.collect()} == {
         ("AAA", "AAA"), ("BBB", "BBB")}
     assert back.count() == 3

@@ -55,12 +55,11 @@ def linear_trend(series_df, fraction=SPLIT):
 def _holt_pass(values, alpha, beta):
     """Level, trend and squared error of one Holt pass over an array, inside the JVM.
 
-    Starts at the first value with the first step as trend.
+    Starts at the first value with the first step as trend; a single value stays level.
     """
     first = F.get(values, F.lit(0))
-    start = F.struct(first.alias("level"),
-                     (F.get(values, F.lit(1)) - first).alias("trend"),
-                     F.lit(0.0).alias("sse"))
+    rise = F.coalesce(F.get(values, F.lit(1)) - first, F.lit(0.0))
+    start = F.struct(first.alias("level"), rise.alias("trend"), F.lit(0.0).alias("sse"))
 
     def step(state, y):
         ahead = state["level"] + state["trend"]
@@ -77,9 +76,9 @@ def holt_states(series_df, grid, fraction=SPLIT):
     """Final level, trend and SSE for every (alpha, beta) of ``grid``, per series.
 
     Every pair reads the one packed array of the series; nothing is replicated.
-    Series with fewer than two train rows have no trend to start from.
+    Series without a train row are left out.
     """
-    packed = packed_split(series_df, fraction).filter(F.size("train") >= 2)
+    packed = packed_split(series_df, fraction).filter(F.size("train") > 0)
     passes = F.array(*[
         F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(b)).alias("beta"),
                  _holt_pass(F.col("train"), F.lit(float(a)), F.lit(float(b))).alias("end"))
@@ -89,13 +88,18 @@ def holt_states(series_df, grid, fraction=SPLIT):
 
 
 def holt_on_grid(series_df, grid, model="Holt-Winters", fraction=SPLIT):
-    """Forecast from the grid point of lowest SSE: level + h * trend."""
-    packed = packed_split(series_df, fraction).filter(F.size("train") >= 2)
+    """Forecast from the grid point of lowest SSE: level + h * trend.
+
+    A train part of one row has no trend, so its value is repeated. Errors that agree to
+    eight digits count as equal, and the first of their points is taken: in short series
+    several points fit alike.
+    """
+    packed = packed_split(series_df, fraction).filter(F.size("train") > 0)
     passes = [
         _holt_pass(F.col("train"), F.lit(float(a)), F.lit(float(b))) for a, b in grid]
     ranked = F.array_min(F.array(*[
-        F.struct(p["sse"].alias("sse"), F.lit(i).alias("i"), p["level"].alias("level"),
-                 p["trend"].alias("trend")) for i, p in enumerate(passes)]))
+        F.struct(F.round(F.log1p(p["sse"]), 8).alias("sse"), F.lit(i).alias("i"),
+                 p["level"].alias("level"), p["trend"].alias("trend")) for i, p in enumerate(passes)]))
     test = (packed.select("series", "test", ranked.alias("best"))
             .select("series", "best", F.posexplode("test").alias("h", "row"))
             .select("series", F.col("row.date").alias("date"),

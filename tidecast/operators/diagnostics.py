@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidecast.operators.features import first_difference
 from tidecast.operators.series import (
-    SPLIT, business_days, by_date, number_rows_in_time, train_part, whole_series)
+    SPLIT, business_days, by_date, number_rows_in_time, split_counts, train_part, whole_series)
 
 NORMAL_95 = 1.959964
 YEAR = 252
@@ -65,19 +65,28 @@ def _arrays(df, keys, columns, *aggregates):
 def _difference_correlations(series_df, lags, fraction, rows_per_lag):
     """Per series: n, r_0..r_K of the differenced train part.
 
-    K is ``lags``, or less where the train part has not ``rows_per_lag`` rows for each. A
-    constant series has no correlations and is left out.
+    K is ``lags``, or n - 1 in a shorter series; with ``rows_per_lag``, less where the train
+    part has not that many rows for each. A series of constant differences keeps its rows,
+    their correlations are null; one without a difference is named by ``no_correlogram``.
     """
     centred = first_difference(series_df, fraction).select(
         "series", "rn", (F.col("diff") - F.avg("diff").over(whole_series())).alias("z"))
     packed = _arrays(centred, ["series"], ["z"], F.count("z").cast("int").alias("n"),
-                     F.sum(F.col("z") * F.col("z")).alias("_c0")).filter(F.col("_c0") > 0)
+                     F.sum(F.col("z") * F.col("z")).alias("_c0"))
     n, z = F.col("n"), F.col("z")
-    most = F.least(F.lit(lags), F.floor((n + 1) / rows_per_lag).cast("int"), n - 1)
+    most = F.least(F.lit(lags), n - 1)
+    if rows_per_lag:
+        most = F.least(most, F.floor((n + 1) / rows_per_lag).cast("int"))
     return packed.select("series", "n", F.transform(
         F.sequence(F.lit(0), most),
-        lambda k: _dot(F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k))
-        / F.col("_c0")).alias("r"))
+        lambda k: F.try_divide(_dot(F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k)),
+                               F.col("_c0"))).alias("r"))
+
+
+def no_correlogram(series_df, fraction=SPLIT):
+    """Series whose train part has no difference, with its length."""
+    return (split_counts(series_df, fraction).filter(F.col("train") < 2)
+            .select("series", "train", F.lit("fewer than two train rows").alias("error")))
 
 
 def _acf_values():
@@ -112,10 +121,10 @@ def _pacf_values():
             F.concat(state["out"], F.array(v)).alias("out"))), F.lit(0))
 
     start = F.struct(F.array().cast("array<double>").alias("phi"),
-                     F.array(F.lit(1.0)).alias("out"))
+                     F.slice(r, F.lit(1), F.lit(1)).alias("out"))
     values = F.when(F.size(r) > 1, F.aggregate(
         F.sequence(F.lit(1), F.greatest(F.size(r) - 1, F.lit(1))), start, step,
-        lambda state: state["out"])).otherwise(F.array(F.lit(1.0)))
+        lambda state: state["out"])).otherwise(r)
     return F.transform(values, lambda value, lag: F.struct(
         value.alias("value"),
         F.when(lag == 0, F.lit(0.0)).otherwise(F.lit(NORMAL_95) / F.sqrt("n"))
@@ -135,19 +144,19 @@ def _with_band(points):
                          (F.col("value") + F.col("half")).alias("hi"))
 
 
-def acf(series_df, lags=40, fraction=SPLIT, rows_per_lag=3):
+def acf(series_df, lags=40, fraction=SPLIT, rows_per_lag=None):
     """Autocorrelations of the differenced train part with Bartlett's 95 % band."""
     return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction,
                                                         rows_per_lag), _acf_values()))
 
 
-def pacf(series_df, lags=40, fraction=SPLIT, rows_per_lag=3):
+def pacf(series_df, lags=40, fraction=SPLIT, rows_per_lag=None):
     """Partial autocorrelations of the differenced train part with their 95 % band."""
     return _with_band(_by_lag(_difference_correlations(series_df, lags, fraction,
                                                         rows_per_lag), _pacf_values()))
 
 
-def correlograms(series_df, lags=40, fraction=SPLIT, rows_per_lag=3):
+def correlograms(series_df, lags=40, fraction=SPLIT, rows_per_lag=None):
     """ACF and PACF in one long table with the error-bar lengths of the band."""
     r = _difference_correlations(series_df, lags, fraction, rows_per_lag)
     both = r.select("series", F.explode_outer(F.array(

@@ -5,6 +5,7 @@ vectorised UDF turns the array into a fit; scoring and everything after it is Sp
 again. A failed fit repeats the last train value, and says so.
 """
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +24,10 @@ def _struct(**fields):
 _INT, _DOUBLE, _TEXT = T.IntegerType(), T.DoubleType(), T.StringType()
 
 HOLT_FIT = _struct(level=_DOUBLE, trend=_DOUBLE, alpha=_DOUBLE, beta=_DOUBLE, sse=_DOUBLE,
-                   fallback=_TEXT)
+                   converged=T.BooleanType(), fallback=_TEXT)
 ARIMA_FIT = _struct(ahead=T.ArrayType(_DOUBLE), p=_INT, d=_INT, q=_INT,
-                    constant=T.BooleanType(), aic=_DOUBLE, fallback=_TEXT)
+                    constant=T.BooleanType(), aic=_DOUBLE,
+                    converged=T.BooleanType(), fallback=_TEXT)
 ADF_TEST = _struct(adf_stat=_DOUBLE, adf_p=_DOUBLE, adf_lags=_INT)
 
 
@@ -38,7 +40,7 @@ def _in_groups(train, fit):
     def together(rows):
         try:
             return fit(rows)
-        except Exception as error:
+        except (ValueError, ArithmeticError, np.linalg.LinAlgError) as error:
             # one series must not cost its neighbours their fit
             return ([error] if len(rows) == 1 else
                     [found for i in rows for found in together([i])])
@@ -64,7 +66,7 @@ def _holt(train: pd.Series) -> pd.DataFrame:
 
     def one(y, found):
         if isinstance(found, Exception):
-            return float(y[-1]), 0.0, None, None, None, _reason(found)
+            return float(y[-1]), 0.0, None, None, None, None, _reason(found)
         return (*found, None)
 
     return pd.DataFrame([one(y, f) for y, f in zip(train, _in_groups(train, fit))])
@@ -78,10 +80,10 @@ def _arima(train: pd.Series, horizon: pd.Series) -> pd.DataFrame:
 
     def one(y, steps, found):
         if isinstance(found, Exception):
-            return ([float(y[-1])] * int(steps), None, None, None, None, None,
+            return ([float(y[-1])] * int(steps), None, None, None, None, None, None,
                     _reason(found))
-        ahead, (p, d, q), constant, aic = found
-        return ahead.tolist(), p, d, q, constant, aic, None
+        ahead, (p, d, q), constant, aic, converged = found
+        return ahead.tolist(), p, d, q, constant, aic, converged, None
 
     return pd.DataFrame([one(y, h, f) for y, h, f in
                          zip(train, horizon, _in_groups(train, fit))])
@@ -138,7 +140,8 @@ def arima_predictions(fitted):
 
 
 def arima_orders(fitted):
-    return fitted.select("series", "p", "d", "q", "constant", "aic", "fallback")
+    return fitted.select("series", "p", "d", "q", "constant", "aic", "converged",
+                         "fallback")
 
 
 def stationarity_report(series_df, fraction=SPLIT):

@@ -1,8 +1,13 @@
 """The SQL counterparts of ``queries``, for an independent engine on the same tables."""
 
-from tidecast.operators.evaluate import METRICS
-from tidecast.plans.queries import BASELINES, HOLT_GRID, LIST_NAMES, URL_TEMPLATE
-from tidecast.sources.schema import MIN_ROWS
+# Written out here and not imported, so that a wrong constant of the code under test shows.
+METRICS = ["mae", "rmse", "mape", "r2"]
+BASELINES = ["Last Value", "Linear Trend", "Holt-Winters"]
+HOLT_GRID = [(0.2, 0.05), (0.2, 0.1), (0.2, 0.2), (0.5, 0.05), (0.5, 0.1), (0.5, 0.2),
+             (0.8, 0.05), (0.8, 0.1), (0.8, 0.2)]
+LIST_NAMES = ["c1", "c2", "c3", "c4", "c5", "c6"]
+URL_TEMPLATE = "https://data.example.com/%s/daily.htm"
+MIN_ROWS = 20
 
 _LINES = """{name} AS (
   SELECT series, date, value FROM (
@@ -69,9 +74,10 @@ def holt(grid):
     return f"""grid(alpha, beta) AS (VALUES {pairs}),
 walk AS (
   SELECT a.series, g.alpha, g.beta, 1 AS rn, a.value AS level,
-         b.value - a.value AS trend, CAST(0 AS DOUBLE) AS sse
-  FROM sp a JOIN sp b ON a.series = b.series AND a.rn = 1 AND b.rn = 2
-       AND b.split = 'train' CROSS JOIN grid g
+         coalesce(b.value - a.value, 0) AS trend, CAST(0 AS DOUBLE) AS sse
+  FROM (SELECT * FROM sp WHERE rn = 1 AND split = 'train') a
+       LEFT JOIN sp b ON a.series = b.series AND b.rn = 2 AND b.split = 'train'
+       CROSS JOIN grid g
   UNION ALL
   SELECT series, alpha, beta, rn, new_level,
          beta * (new_level - level) + (1 - beta) * trend, sse
@@ -91,15 +97,15 @@ _HOLT = """holt_p AS (
          e.level + (t.rn - l.rn) * e.trend AS predicted,
          'Holt-Winters' AS model, 'multi_step' AS horizon_kind
   FROM sp t
-  JOIN (SELECT series, arg_min(level, sse) AS level, arg_min(trend, sse) AS trend
-        FROM ends GROUP BY series) e USING (series)
+  JOIN (SELECT series, level, trend FROM ends QUALIFY row_number() OVER (
+          PARTITION BY series ORDER BY round(ln(1 + sse), 8), alpha, beta) = 1) e USING (series)
   JOIN (SELECT series, max(rn) AS rn FROM sp WHERE split = 'train' GROUP BY series) l
        USING (series)
   WHERE t.split = 'test')"""
 
 
 def predictions(name):
-    return ",\n".join([source(name), SPLIT, _LAST, _TREND, holt(HOLT_GRID[:1]), _HOLT,
+    return ",\n".join([source(name), SPLIT, _LAST, _TREND, holt(HOLT_GRID), _HOLT,
                        """p AS (SELECT * FROM last_value_p UNION ALL
   SELECT * FROM linear_trend_p UNION ALL SELECT * FROM holt_p)"""])
 
@@ -144,14 +150,14 @@ CORRELATIONS = """d AS (
         FROM sp WHERE split = 'train') WHERE rn > 1),
 sizes AS (
   SELECT series, count(*) AS n, sum(z * z) AS c0,
-         least(40, CAST(floor((count(*) + 1) / 3) AS INTEGER)) AS lags
-  FROM d GROUP BY series HAVING sum(z * z) > 0),
+         least(40, count(*) - 1) AS lags
+  FROM d GROUP BY series),
 pairs AS (
   SELECT series, lag, n, c0 FROM (
     SELECT series, n, c0, unnest(generate_series(0, lags)) AS lag FROM sizes)),
 r AS (
   SELECT q.series, CAST(q.lag AS INTEGER) AS lag, any_value(q.n) AS n,
-         coalesce(sum(a.z * b.z), 0) / any_value(q.c0) AS value
+         coalesce(sum(a.z * b.z), 0) / nullif(any_value(q.c0), 0) AS value
   FROM pairs q LEFT JOIN d a ON a.series = q.series
        LEFT JOIN d b ON b.series = q.series AND b.rn = a.rn - q.lag
   GROUP BY q.series, q.lag),
@@ -173,7 +179,7 @@ dl AS (
         FROM dl WHERE len(r) >= k + 2)),
 pacf AS (
   SELECT series, CAST(0 AS INTEGER) AS lag, CAST(1 AS DOUBLE) AS value,
-         CAST(1 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi FROM rl
+         CAST(1 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi FROM rl WHERE r[1] IS NOT NULL
   UNION ALL
   SELECT series, CAST(k AS INTEGER), last, last - 1.959964 / sqrt(n),
          last + 1.959964 / sqrt(n) FROM dl)"""
@@ -241,6 +247,23 @@ t AS (
          CASE WHEN month(date) = 2 THEN strftime(date, '%-d-%-m-%Y')
               ELSE strftime(date, '%-d/%-m/%Y') END AS "Loose_date", value FROM s)"""
 
+# the last line of each supplier's day
+RECORDS = """t AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS supplier, CAST(l_shipdate AS DATE) AS d, * FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE)
+    ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC, l_partkey DESC,
+             l_quantity DESC, l_discount DESC, l_tax DESC) = 1)"""
+SUMS = """count(*) FILTER (day(d) <> 13) AS n_values, count(*) AS n_rows, min(d) AS first_day,
+        max(d) AS last_day, CAST(sum(l_linenumber) AS BIGINT) AS lines,
+        CAST(sum(l_partkey) AS BIGINT) AS parts, CAST(sum(l_orderkey) AS BIGINT) AS orders,
+        CAST(round(sum(l_quantity), 0) AS BIGINT) AS quantity,
+        round(sum(l_discount), 2) AS discount, round(sum(l_tax), 2) AS tax"""
+
+# the series of the quick analysis
+QUICK = source("event_days", "every") + """,
+s AS (SELECT series, date, value FROM (
+  SELECT *, count(*) OVER (PARTITION BY series) AS k FROM every) WHERE k >= 20)"""
+
 UNITS = source("supplier_bars") + """,
 u AS (SELECT series, CAST(year(min(date)) AS INTEGER) AS year_from,
              CAST(year(max(date)) AS INTEGER) AS year_to FROM s GROUP BY series)"""
@@ -314,12 +337,22 @@ ORACLES = {
         split_part("Date", '/', 3) AS year FROM t"""),
     "raw_text_series": _with(TEXT, """SELECT "Ticker" AS series, d AS date, value FROM t
         WHERE day(d) <> 13"""),
-    "csv_round_trip": _with(TEXT, """SELECT "Ticker" AS file_series,
-        CAST(1992 AS INTEGER) AS year_from, CAST(2002 AS INTEGER) AS year_to,
-        count(*) FILTER (WHERE day(d) <> 13) AS n_values, count(*) AS n_rows,
-        min(d) AS first_day, max(d) AS last_day FROM t GROUP BY "Ticker" """),
-    "dedupe_exact": """SELECT DISTINCT l_returnflag AS series,
-        CAST(l_shipdate AS DATE) AS date, l_quantity AS quantity FROM lineitem""",
+    "csv_round_trip": _with(RECORDS, f"""SELECT supplier AS file_series,
+        CAST(year(min(d)) AS INTEGER) AS year_from, CAST(year(max(d)) AS INTEGER) AS year_to,
+        {SUMS} FROM t GROUP BY supplier"""),
+    "scan_mixed_headers": _with(RECORDS, f"""SELECT supplier AS series,
+        CASE WHEN CAST(supplier AS BIGINT) % 3 = 2 THEN 'of ' || supplier END AS "Note", {SUMS},
+        CASE WHEN CAST(supplier AS BIGINT) % 3 = 2 THEN 0 ELSE count(*) END AS averages
+        FROM t GROUP BY supplier"""),
+    "ingest_files": _with(UNITS, """SELECT series || '_' || year_from || '_' || year_to AS unit,
+        CASE WHEN s_acctbal < 0 THEN 'failed' ELSE 'ok' END AS status,
+        CASE WHEN s_acctbal < 0 THEN 'unreadable: header isn''t UTF-8' END AS reason
+        FROM u JOIN supplier ON CAST(s_suppkey AS VARCHAR) = series"""),
+    "dedupe_exact": """SELECT DISTINCT * FROM (
+        SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)""",
+    "no_correlogram": _with(source("customer_orders"), SPLIT, """SELECT series,
+        count(*) FILTER (split = 'train') AS train, 'fewer than two train rows' AS error
+        FROM sp GROUP BY series HAVING count(*) FILTER (split = 'train') < 2"""),
     "skip_landed": _with(UNITS, """SELECT series, year_from, year_to FROM u
         WHERE series NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier
                              WHERE s_acctbal >= 0)"""),
@@ -400,16 +433,14 @@ c AS (SELECT page_id, row_no, regexp_extract_all(body, '(?is)<li\\b[^>]*>(.*?)</
         series, date, period, observed, round(trend, 6) AS trend,
         round(seasonal, 6) AS seasonal, round(resid, 6) AS resid FROM dc"""),
     "decompose_weekly": _with(
-        source("supplier_bars", "every"),
-        "s AS (SELECT * FROM every WHERE year(date) = 1996)", BUSINESS_DAYS, DECOMPOSE,
+        source("event_days"), BUSINESS_DAYS, DECOMPOSE,
         """SELECT series, date, period, observed, round(trend, 5) AS trend,
         round(seasonal, 5) AS seasonal, round(resid, 5) AS resid FROM dc"""),
     "decomposition_long": _with(source("quantity_days"), BUSINESS_DAYS, DECOMPOSE, " UNION ALL ".join(
         f"SELECT series, date, '{c}' AS component, round({c}, 6) AS value FROM dc"
         for c in ("observed", "trend", "seasonal", "resid"))),
     "undecomposable": _with(
-        source("customer_orders", "every"),
-        "s AS (SELECT * FROM every WHERE year(date) = 1996)", BUSINESS_DAYS, _GRID_TRAIN,
+        source("customer_orders"), BUSINESS_DAYS, _GRID_TRAIN,
         """SELECT series, count(*) AS train_days, 'fewer than two periods' AS error
         FROM gt GROUP BY series HAVING count(*) < 10"""),
     "kpss_statistic": _with(source("supplier_bars"), SPLIT, """z AS (
@@ -469,9 +500,11 @@ pv AS (SELECT *, CASE WHEN stat <= 0.347 THEN 0.10
         REPLACE (round(predicted, 4) AS predicted) FROM holt_p""", recursive=True),
     "prediction_union": _with(predictions("supplier_bars"), """SELECT * REPLACE
         (round(predicted, 4) AS predicted) FROM p""", recursive=True),
+    "prediction_union_short": _with(predictions("customer_orders"), """SELECT * REPLACE
+        (round(predicted, 4) AS predicted) FROM p""", recursive=True),
     "forecast_overlay": _with(predictions("bars"), f"""wide AS (
   SELECT series, date, max(actual) AS actual, {_OVERLAY_MODELS} FROM p GROUP BY series, date),
-obs AS (SELECT * FROM sp WHERE series <> 'R')""", f"""SELECT
+obs AS (SELECT * FROM sp)""", f"""SELECT
         coalesce(o.series, w.series) AS series, coalesce(o.date, w.date) AS date,
         CASE WHEN o.split = 'train' THEN o.value END AS train,
         CASE WHEN o.split IS NULL OR o.split = 'test' THEN coalesce(o.value, w.actual) END
@@ -507,6 +540,35 @@ obs AS (SELECT * FROM sp WHERE series <> 'R')""", f"""SELECT
     "series_metric_table": _from_metrics("supplier_bars", _flags("""(SELECT *,
         CAST(row_number() OVER (PARTITION BY series ORDER BY rmse NULLS LAST, model)
         AS INTEGER) AS no FROM m)""", "PARTITION BY series")),
+    "feature_vectors": _with(source("supplier_bars"), SPLIT, f"""SELECT series, date, split,
+        value, [round(x, 6) FOR x IN [lag1, lag2, lag3, lag5, lag10, rmean5, rmean10, rmean20,
+        rstd5, rstd10, rstd20, CAST(dow AS DOUBLE), CAST(month AS DOUBLE)]] AS features
+        FROM (SELECT *, {_LAGS}, {_TRAILING}, dayofweek(date) + 1 AS dow, month(date) AS month
+              FROM sp) WHERE lag10 IS NOT NULL AND rstd5 IS NOT NULL"""),
+    "quick_split_counts": _with(QUICK, SPLIT, """SELECT series,
+        count(*) AS total, count(*) FILTER (WHERE split = 'train') AS train,
+        count(*) FILTER (WHERE split = 'test') AS test FROM sp GROUP BY series"""),
+    "quick_overview": _with(QUICK, SPLIT, """SELECT *,
+        CASE WHEN return_pct < 0 THEN 'down' ELSE 'up' END AS direction FROM (
+          SELECT series, date, value, split, round((value / nullif(
+            lag(value) OVER (PARTITION BY series ORDER BY date), 0) - 1) * 100, 6)
+            AS return_pct FROM sp)"""),
+    "quick_rolling": _with(QUICK, SPLIT, """SELECT series, date, value,
+        CASE WHEN count(*) OVER w = 20 THEN round(avg(value) OVER w, 6) END AS roll_mean,
+        CASE WHEN count(*) OVER w = 20 THEN round(stddev_samp(value) OVER w, 6) END
+          AS roll_std
+        FROM sp WHERE split = 'train' WINDOW w AS (PARTITION BY series ORDER BY date
+          ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""),
+    "quick_difference": _with(QUICK, SPLIT, """SELECT * FROM (
+        SELECT series, date, rn, value, round(value - lag(value) OVER (
+          PARTITION BY series ORDER BY date), 6) AS diff FROM sp WHERE split = 'train')
+        WHERE rn > 1"""),
+    "quick_correlograms": _with(QUICK, SPLIT, CORRELATIONS.replace(
+        "least(40, count(*) - 1)", "least(40, count(*) - 1, (count(*) + 1) // 3)"), PARTIALS,
+        """SELECT series, kind, lag, round(value, 6) AS value, round(hi - value, 6) AS upper,
+        round(value - lo, 6) AS lower
+        FROM (SELECT 'acf' AS kind, * FROM acf UNION ALL SELECT 'pacf', * FROM pacf)""",
+        recursive=True),
     "unfitted_series": _with(source("customer_orders"), """SELECT series, count(*) AS total
         FROM s GROUP BY series HAVING floor(count(*) * CAST(0.8 AS DOUBLE)) < 1"""),
 }

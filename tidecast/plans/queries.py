@@ -3,14 +3,15 @@
 The SQL that must give the same rows is in ``oracles``. Doubles are rounded in both.
 """
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidecast.functions.text import (
     clean_number, iso_text, mark_missing, parse_day, parse_iso, year_part)
 from tidecast.operators import (
     baselines, diagnostics, evaluate, features, pooled, reports, series, statistical)
-from tidecast.plans.forecast_run import forecast_run
-from tidecast.plans.quick_analysis import quick_forecast, quick_metrics
+from tidecast.plans.forecast_run import metrics_of_run, run_and_save
+from tidecast.plans.quick_analysis import diagnostic_tables, quick_forecast, quick_metrics
 from tidecast.session import scratch_path
 from tidecast.sources import csv_scan, ingest, pages, tables
 from tidecast.sources.schema import MIN_ROWS, RAW_COLUMNS
@@ -38,7 +39,7 @@ def baseline_predictions(source):
     """The three models whose predictions SQL can state."""
     return baselines.union_predictions([
         baselines.last_value(source), baselines.linear_trend(source),
-        baselines.holt_on_grid(source, HOLT_GRID[:1])])
+        baselines.holt_on_grid(source, HOLT_GRID)])
 
 
 def supplier_metrics(spark, folder):
@@ -98,27 +99,75 @@ def raw_text_series(spark, folder):
 
 @query
 def csv_round_trip(spark, folder):
-    """Raw files with the years in their names, written, scanned back and summarised."""
-    text = tables.formatted_records(spark, folder)
-    known = {"Ticker", "Date", "Close_price"}
-    raw = text.select(*[F.col(c) if c in known else F.lit("0").alias(c)
-                        for c in RAW_COLUMNS])
+    """Raw files with the unit's own years in their keys, written, scanned back, summarised."""
+    raw = tables.raw_records(spark, folder)
+    own = W.partitionBy("Ticker")
+    year = F.year(parse_day("Date"))
+    raw = raw.select("*", F.min(year).over(own).alias("_from"), F.max(year).over(own).alias("_to"))
     path = scratch_path(spark, "raw")
-    csv_scan.write_raw(raw, path, 1992, 2002)
-    back = csv_scan.with_file_key(csv_scan.read_written(spark, path))
+    csv_scan.write_raw(raw, path, F.col("_from"), F.col("_to"))
+    typed = csv_scan.typed_records(csv_scan.read_written(spark, path))
+    return _summed(typed.groupBy("file_series", "year_from", "year_to"))
+
+
+def _summed(grouped):
+    """Counts and sums over typed records that only come out if every column was read."""
+    def whole(name):
+        return F.round(F.sum(name), 0).cast("long")
+    return grouped.agg(
+        F.count("Close_price").alias("n_values"), F.count(F.lit(1)).alias("n_rows"),
+        F.min("Date").alias("first_day"), F.max("Date").alias("last_day"),
+        F.sum("No").alias("lines"), whole("Open_price").alias("parts"),
+        whole("Market_cap").alias("orders"), whole("Total_volume").alias("quantity"),
+        F.round(F.sum("Change"), 2).alias("discount"),
+        F.round(F.sum("Change_percent"), 2).alias("tax"))
+
+
+def _three_layouts(spark, folder):
+    """Records in files of three headers: in order, in reverse, and with another column."""
+    raw = tables.raw_records(spark, folder)
+    path = scratch_path(spark, "layouts")
+    kind = F.pmod(F.col("Ticker").cast("long"), F.lit(3))
+    layouts = [RAW_COLUMNS, RAW_COLUMNS[::-1], [c for c in RAW_COLUMNS if c != "Average"]]
+    for i, columns in enumerate(layouts):
+        some = raw.filter(kind == i).select(*columns)
+        if i == 2:
+            some = some.withColumn("Note", F.concat(F.lit("of "), F.col("Ticker")))
+        some.write.csv(f"{path}/{i}", header=True)
+    return path
+
+
+@query
+def scan_mixed_headers(spark, folder):
+    """Files of three kinds of header read in one scan, columns matched by name."""
+    back = csv_scan.scan_files(spark, _three_layouts(spark, folder), "*/*.csv")
     typed = csv_scan.typed_records(back)
-    return typed.groupBy("file_series", "year_from", "year_to").agg(
-        F.count("Close_price").alias("n_values"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("Date").alias("first_day"), F.max("Date").alias("last_day"))
+    return _summed(typed.groupBy(F.col("Ticker").alias("series"), "Note")).join(
+        typed.groupBy(F.col("Ticker").alias("series")).agg(F.count("Average").alias("averages")),
+        "series")
+
+
+@query
+def ingest_files(spark, folder):
+    """Status of the files of a load in which the units in debt are no text."""
+    units = _units(spark, folder).join(
+        tables.read_table(spark, folder, "supplier").select(
+            F.col("s_suppkey").cast("string").alias("series"),
+            (F.col("s_acctbal") < 0).alias("broken")), "series")
+    path = scratch_path(spark, "load")
+    line = F.when(F.col("broken"), F.unhex(F.lit("FFFE00FF")).cast("string")).otherwise("Ticker")
+    units.select(csv_scan.file_key(F.col("series"), F.col("year_from"), F.col("year_to")).alias(
+        "unit"), line.alias("value")).write.partitionBy("unit").text(path)
+    status = csv_scan.file_status(spark, path, "unit=*/*.txt")
+    named = status.withColumn("file_path", F.regexp_extract("file_path", "unit=([^/]+)", 1))
+    return ingest.files_status(named)
 
 
 @query
 def dedupe_exact(spark, folder):
+    """Whole records of a delivery that came twice."""
     items = tables.read_table(spark, folder, "lineitem")
-    return ingest.drop_exact_duplicates(items.select(
-        F.col("l_returnflag").alias("series"), F.to_date("l_shipdate").alias("date"),
-        F.col("l_quantity").alias("quantity")))
+    return ingest.drop_exact_duplicates(items.unionByName(items))
 
 
 def _units(spark, folder):
@@ -306,18 +355,18 @@ def decomposition_long(spark, folder):
 @query
 def decompose_weekly(spark, folder):
     """Series too short for two years fall back to the weekly period."""
-    out = diagnostics.decompose(_one_year(tables.supplier_bars(spark, folder)))
+    out = diagnostics.decompose(tables.event_days(spark, folder))
     return rounded(out, 5, "trend", "seasonal", "resid")
 
 
-def _one_year(series_df):
-    return series_df.filter(F.year("date") == 1996)
+@query
+def undecomposable(spark, folder):
+    return diagnostics.undecomposable(tables.customer_orders(spark, folder))
 
 
 @query
-def undecomposable(spark, folder):
-    brief = tables.customer_orders(spark, folder).filter(F.year("date") == 1996)
-    return diagnostics.undecomposable(brief)
+def no_correlogram(spark, folder):
+    return diagnostics.no_correlogram(tables.customer_orders(spark, folder))
 
 
 @query
@@ -361,12 +410,17 @@ def prediction_union(spark, folder):
     return rounded(baseline_predictions(tables.supplier_bars(spark, folder)), 4, "predicted")
 
 
+@query
+def prediction_union_short(spark, folder):
+    """Short series: every model predicts the same rows."""
+    return rounded(baseline_predictions(tables.customer_orders(spark, folder)), 4, "predicted")
+
+
 @query
 def forecast_overlay(spark, folder):
-    """The observations of one series are held back, as if its raw file were missing."""
     source = tables.bars(spark, folder)
-    observed = series.with_split(source).filter(F.col("series") != "R")
-    out = reports.forecast_overlay(observed, baseline_predictions(source), BASELINES)
+    out = reports.forecast_overlay(series.with_split(source), baseline_predictions(source),
+                                   BASELINES)
     return rounded(out, 4, *BASELINES)
 
 
@@ -463,13 +517,13 @@ def series_metric_table(spark, folder):
 @query
 def feature_vectors(spark, folder):
     from pyspark.ml.functions import vector_to_array
-    out = features.assemble(features.add_features(tables.bars(spark, folder)))
-    return out.select("series", "date", "split", "value",
-                      vector_to_array("features").alias("features"))
+    out = features.assemble(features.add_features(tables.supplier_bars(spark, folder)))
+    numbers = F.transform(vector_to_array("features"), lambda x: F.round(x, 6))
+    return out.select("series", "date", "split", "value", numbers.alias("features"))
 
 
 def _pooled(name, spark, folder):
-    return pooled.pooled_forecast(tables.bars(spark, folder), [name])[0]
+    return pooled.pooled_forecast(tables.supplier_bars(spark, folder), [name])[0]
 
 
 @query
@@ -517,13 +571,35 @@ def stationarity_report(spark, folder):
 
 @query
 def five_model_run(spark, folder):
-    return forecast_run(tables.bars(spark, folder)).metrics
+    return metrics_of_run(tables.bars(spark, folder))
 
 
 @query
 def five_model_run_many(spark, folder):
     """The same run over many series."""
-    return forecast_run(tables.supplier_bars(spark, folder)).metrics
+    return metrics_of_run(tables.supplier_bars(spark, folder))
+
+
+@query
+def five_model_comparison(spark, folder):
+    """The whole path: run, result files, read back, best model of each series with flags."""
+    saved = run_and_save(tables.supplier_bars(spark, folder), scratch_path(spark, "results"))
+    return reports.flag_best(reports.best_per_series(saved["metrics"]))
+
+
+def _quick_table(name):
+    def table(spark, folder):
+        kept = series.long_enough(tables.event_days(spark, folder), MIN_ROWS)
+        out = diagnostic_tables(kept)[name]
+        return rounded(out, 6, *[c for c, kind in out.dtypes if kind == "double" and c != "value"
+                                 or name == "correlograms" and c == "value"])
+    table.__name__ = f"quick_{name}"
+    return table
+
+
+for _name in ("split_counts", "describe", "overview", "rolling", "difference", "stationarity",
+              "correlograms"):
+    query(_quick_table(_name))
 
 
 @query

@@ -8,13 +8,15 @@ from pyspark.sql import SparkSession
 
 
 def local_session(app="tidecast", cpus=8, **conf):
-    """A local session for tests and the bench; a cluster brings its own."""
+    """A local session for tests and the bench; a cluster brings its own.
+
+    Memory is the caller's choice (``spark.driver.memory`` among ``conf``).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
     )

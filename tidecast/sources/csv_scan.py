@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tidecast.functions.text import clean_number, parse_day, parse_day_lenient
 from tidecast.operators.series import to_series
 from tidecast.sources.schema import (
-    FORMATTED_COLUMNS, PLAIN_NUMERIC_COLUMNS, RAW_SCHEMA, TARGET)
+    FORMATTED_COLUMNS, PLAIN_NUMERIC_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TARGET)
 
 
 def read_raw(spark, folder):
@@ -134,16 +134,12 @@ def upload_to_series(raw, target=TARGET, name="upload"):
 
 
 def with_file_key(df):
-    """Series and year range from the file name ``{series}_{from}_{to}.csv``.
+    """Series and year range from the file name ``{series}_{from}_{to}.csv``."""
+    name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
+    return _split_key(df, F.regexp_replace(name, r"\.csv$", ""))
 
-    Takes the folder of that name where a Spark writer made one per file key.
-    """
-    path = F.col("_metadata.file_path")
-    name = F.substring_index(path, "/", -1)
-    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    named = F.when(name.endswith(".csv") & F.rlike(name, F.lit(r"_\d{4}_\d{4}\.csv$")),
-                   F.regexp_replace(name, r"\.csv$", "")).otherwise(
-                       F.replace(folder, F.lit("file_key="), F.lit("")))
+
+def _split_key(df, named):
     key = F.when(F.rlike(named, F.lit(r"^.+_\d{4}_\d{4}$")), named)
     size = F.length(key)
     return df.select("*", key.substr(F.lit(1), size - 10).alias("file_series"),
@@ -155,18 +151,25 @@ def file_key(series, year_from, year_to):
     return F.format_string("%s_%s_%s", series, year_from, year_to)
 
 
-def write_raw(raw, folder, year_from, year_to):
-    """Raw records to one CSV folder per ``{series}_{from}_{to}``.
+def write_raw(raw, folder, year_from, year_to, buckets=64):
+    """Raw records with their ``file_key`` as CSV files in a bounded number of folders.
 
-    Rebalancing gathers a key's rows, so a key gets one file and not one per task, and
-    splits a key that is too large for one.
+    The years are numbers or columns. A folder holds the units of one hash bucket, so the
+    number of folders doesn't grow with the number of series. Rebalancing gathers a unit's
+    rows and splits a bucket that is too large for one file.
     """
-    keyed = raw.withColumn("file_key", file_key(F.col("Ticker"), F.lit(year_from),
-                                                F.lit(year_to)))
-    (keyed.hint("rebalance", "file_key").write.mode("overwrite").partitionBy("file_key")
+    def column(year):
+        return F.lit(year) if isinstance(year, int) else year
+    keyed = raw.withColumn("file_key", file_key(F.col("Ticker"), column(year_from),
+                                                column(year_to)))
+    keyed = keyed.select(*RAW_COLUMNS, "file_key",
+                         F.pmod(F.xxhash64("file_key"), F.lit(buckets)).alias("bucket"))
+    (keyed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
      .csv(folder, header=True))
 
 
 def read_written(spark, folder):
-    """Files written by ``write_raw``."""
-    return spark.read.schema(RAW_SCHEMA).csv(f"{folder}/file_key=*/*.csv", header=True)
+    """Files written by ``write_raw``, with series and years of each record's key."""
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("file_key", T.StringType())])
+    rows = spark.read.schema(schema).csv(f"{folder}/bucket=*/*.csv", header=True)
+    return _split_key(rows, F.col("file_key"))

@@ -27,6 +27,7 @@ MIN_ROWS = 20
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
+# fixed values: columns of the result files
 PREDICTIONS_SCHEMA = T.StructType([
     T.StructField("Ticker", T.StringType()),
     T.StructField("Date", T.DateType()),

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidecast.operators.series import to_series
+from tidecast.sources.schema import RAW_COLUMNS
 
 
 def read_table(spark, folder, name):
@@ -61,6 +62,39 @@ def event_days(spark, folder):
                      F.col("value"), F.col("event_id"))
 
 
+def raw_records(spark, folder):
+    """The 18 raw columns as text, every one filled from the line items.
+
+    One record per supplier and day, the last line of the day; some closes are the ``N/A``
+    of an unrenderable cell.
+    """
+    items = read_table(spark, folder, "lineitem")
+    whole = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax"]
+    order = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_quantity",
+                     "l_discount", "l_tax")
+    last = items.groupBy(F.col("l_suppkey").alias("supplier"), F.to_date("l_shipdate").alias(
+        "day")).agg(F.max(order).alias("last"))
+
+    def money(name):
+        return F.format_number(F.col(f"last.{name}").cast("double"), 2)
+
+    def plain(name):
+        return F.col(f"last.{name}").cast("string")
+    close = F.when(F.dayofmonth("day") == 13, "N/A").otherwise(money("l_extendedprice"))
+    filled = {
+        "No": plain("l_linenumber"), "Date": F.date_format("day", "dd/MM/yyyy"),
+        "Ticker": F.col("supplier").cast("string"), "Reference": money("l_extendedprice"),
+        "Open_price": money("l_partkey"), "Close_price": close,
+        "Highest_price": money("l_orderkey"), "Lowest_price": money("l_quantity"),
+        "Average": money("l_extendedprice"), "Change": money("l_discount"),
+        "Change_percent": plain("l_tax"), "Matched_volume": plain("l_quantity"),
+        "Matched_value": money("l_extendedprice"), "Negotiated_volume": plain("l_linenumber"),
+        "Negotiated_value": money("l_partkey"), "Total_volume": plain("l_quantity"),
+        "Total_value": money("l_extendedprice"), "Market_cap": money("l_orderkey")}
+    return last.select(*[filled[c].alias(c) for c in RAW_COLUMNS])
+
+
 def formatted_records(spark, folder):
     """Raw text records derived from the supplier bars, as the daily files hold them.
 
