@@ -2,7 +2,7 @@
 
 Merges of one pre-token are taken from a queue over merge ranks: a bucket for each rank
 holds the places (in a linked list of pieces) of pairs with that rank, and a bitmap of
-three levels tells by find-first-set which rank is the lowest with a bucket. Merging makes
+two levels tells by find-first-set which rank is the lowest with a bucket. Merging makes
 older entries stale; they are skipped when they come up. Each step costs the same however
 long the pre-token is.
 """
@@ -34,63 +34,54 @@ def parse_ranks(content):
 def merged(word, ranks):
     """Ids of one pre-token's bytes."""
     n = len(word)
-    after = list(range(1, n + 1))  # where the next piece begins
-    before = list(range(-1, n - 1))
-    pair = [-1] * n  # rank of the pair whose left piece begins here
-    buckets, leaf, middle, top = {}, {}, {}, 0
     get = ranks.get
-
-    for i in range(n - 1):
-        rank = get(word[i:i + 2], -1)
-        if rank >= 0:
-            pair[i] = rank
-            if rank in buckets:
-                buckets[rank].append(i)  # in order, so still a heap
-            else:
-                buckets[rank] = [i]
-                w = rank >> 6
-                leaf[w] = leaf.get(w, 0) | 1 << (rank & 63)
-                middle[w >> 6] = middle.get(w >> 6, 0) | 1 << (w & 63)
-                top |= 1 << (w >> 6)
+    after = list(range(1, n + 1))  # where the next piece begins
+    before = list(range(-1, n))
+    pair = [get(word[i:i + 2], -1) for i in range(n)]  # rank of the pair that begins here
+    pair[-1] = -1
+    buckets, leaves, top = {}, {}, 0
+    for i, rank in enumerate(pair):
+        if rank in buckets:
+            buckets[rank].append(i)  # in order, so still a heap
+        elif rank >= 0:
+            buckets[rank] = [i]
+    for rank in buckets:
+        w = rank >> 8
+        leaves[w] = leaves.get(w, 0) | 1 << (rank & 255)
+        top |= 1 << w
     while top:
-        m = (top & -top).bit_length() - 1
-        bits = middle[m]
-        w = m << 6 | (bits & -bits).bit_length() - 1
-        bits = leaf[w]
-        rank = w << 6 | (bits & -bits).bit_length() - 1
+        w = (top & -top).bit_length() - 1
+        bits = leaves[w]
+        low = bits & -bits
+        rank = w << 8 | low.bit_length() - 1
         bucket = buckets[rank]
         i = heappop(bucket)
         if not bucket:
             del buckets[rank]
-            leaf[w] ^= 1 << (rank & 63)
-            if not leaf[w]:
-                middle[m] ^= 1 << (w & 63)
-                if not middle[m]:
-                    top ^= 1 << m
+            bits ^= low
+            leaves[w] = bits
+            if not bits:
+                top ^= 1 << w
         if pair[i] != rank:
             continue  # stale
         j = after[i]
         k = after[j]
         after[i] = k
-        pair[i] = pair[j] = -1
-        changed = []
-        if k < n:
-            before[k] = i
-            changed.append((i, after[k]))
-        if i:
-            changed.append((before[i], k))
-        for at, end in changed:
-            rank = get(word[at:end], -1)
-            pair[at] = rank
-            if rank >= 0:
-                if rank in buckets:
-                    heappush(buckets[rank], at)
-                else:
-                    buckets[rank] = [at]
-                    w = rank >> 6
-                    leaf[w] = leaf.get(w, 0) | 1 << (rank & 63)
-                    middle[w >> 6] = middle.get(w >> 6, 0) | 1 << (w & 63)
-                    top |= 1 << (w >> 6)
+        before[k] = i
+        pair[j] = -1
+        at, end = i, after[k] if k < n else 0
+        for _ in (0, 1):  # the pair that now begins here, then the one that ends here
+            rank = get(word[at:end], -1) if end and at >= 0 else -1
+            if at >= 0:
+                pair[at] = rank
+            if rank in buckets:
+                heappush(buckets[rank], at)
+            elif rank >= 0:
+                buckets[rank] = [at]
+                w = rank >> 8
+                leaves[w] = leaves.get(w, 0) | 1 << (rank & 255)
+                top |= 1 << w
+            at, end = before[i], k
     ids, i = [], 0
     while i < n:
         ids.append(ranks[word[i:after[i]]])
@@ -204,8 +195,17 @@ def decode(encoded, path, pattern):
                   "doc_id long, ids binary, decoded binary")
 
 
+def encode_decode(docs, path, pattern):
+    """``doc_id, ids, decoded``: both ways in one pass, so that one worker knows the words."""
+    pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    shared = _shared(docs, path)
+    there, back = _encoded(shared, pattern), _decoded(shared, pattern)
+    return mapped(pairs, lambda batches: back(there(batches)),
+                  "doc_id long, ids binary, decoded binary")
+
+
 def round_trip(docs, path, pattern):
     """The columns of op5: number and digest of the ids, digest of the decoded bytes."""
-    return decode(encode(docs, path, pattern), path, pattern).select(
+    return encode_decode(docs, path, pattern).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
