@@ -37,8 +37,7 @@ def benchmark_texts(spark, docs, sf_dir):
 def token_ids(spark, docs, sf_dir):
     """Ids of every text, packed, with digests of them and of the bytes they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
-    return decoded.select(
+    return byte_bpe.encode_decode(docs, path, pattern).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
