@@ -20,7 +20,8 @@ SEGMENT, WIDTH, FILTERS, EMBEDDING = 256, 8, 16, 4
 HIDDEN, INPUTS = 16, 3 * FILTERS + 2
 #: Labelled rows that training takes of each class, by hash order, and their bytes in all.
 SAMPLE_ROWS, SAMPLE_BYTES = 1500, 10_000_000
-EPOCHS, BATCH, RATE, SEED = 8, 32, 0.01, 7
+#: Passes over the sample, or as many as make STEPS steps of the descent from a small one.
+EPOCHS, STEPS, BATCH, RATE, SEED = 8, 400, 32, 0.01, 7
 THRESHOLD = 0.3
 
 
@@ -144,7 +145,9 @@ def fit(texts, labels, weights, epochs=EPOCHS, seed=SEED):
     share = float((labels * weights).sum() / weights.sum())
     w["shift"][0] = np.log(max(share, 1e-3) / max(1 - share, 1e-3))
     r, t = np.random.default_rng(seed), 0
-    rounds = epochs * -(-len(texts) // BATCH)
+    batches = -(-len(texts) // BATCH)
+    epochs = max(epochs, -(-STEPS // batches))
+    rounds = epochs * batches
     for _ in range(epochs):
         order = r.permutation(len(texts))
         for i in range(0, len(order), BATCH):
