@@ -121,7 +121,7 @@ def number_rows(report, *order):
         "_part", (F.sum("_rows").over(W.orderBy("_part")) - F.col("_rows")).alias("_before"))
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     return (placed.withColumn("_part", part).withColumn("_place", place)
-            .join(F.broadcast(before), "_part")
+            .join(before, "_part")
             .withColumn("no", F.col("_before") + F.col("_place") + 1)
             .select("no", *report.columns))
 
