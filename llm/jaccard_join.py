@@ -22,9 +22,13 @@ from llm.components import components
 from llm.frames import mapped, parallelism, written
 from llm.words import UNSPACED, Words, mix, slices, utf8
 
-#: Bits that tell anchors apart when counting; anchors of so many sets come last in the
-#: order; members of an anchor that are compared in one task; members of a leaf region.
-BUCKET_BITS, COMMON, MEMBERS, LEAF = 27, 16, 1000, 1000
+#: Elements are counted in 2**BUCKET_BITS buckets, of which a slice of 2**SLICE_BITS is one
+#: array; so what is broadcast has a fixed size. Bucket collisions only make elements look
+#: more common than they are, which changes their order and not the result.
+BUCKET_BITS, SLICE_BITS = 27, 21
+#: Elements of so many sets come last in the order; members of an anchor that are compared
+#: in one task; members of a leaf region.
+COMMON, MEMBERS, LEAF = 16, 1000, 1000
 #: Pivots of a region.
 PIVOTS = 16
 
@@ -71,19 +75,77 @@ class Threshold:
         return self.den * shared >= self.num * (a + b - shared)
 
 
+def _buckets(hashes):
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
 def _flags(bits, hashes):
-    at = hashes >> np.uint64(64 - BUCKET_BITS)
-    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    at = _buckets(hashes)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _sliced(hashes):
+    """A batch of (slice, places in the slice) for elements to be counted."""
+    at = np.sort(_buckets(hashes))
+    cuts = np.searchsorted(at, np.arange((1 << BUCKET_BITS - SLICE_BITS) + 1) << SLICE_BITS)
+    used = np.flatnonzero(np.diff(cuts))
+    places = (at & (1 << SLICE_BITS) - 1).astype("<u4")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(used.astype(np.int32)),
+         pa.array([places[cuts[i]:cuts[i + 1]].tobytes() for i in used], pa.binary())],
+        ["slice", "places"])
+
 
+_PLACES = "slice int, places binary"
+
+
+def _reached(thresholds):
+    def reached(batches):
+        counts = {}
+        for batch in batches:
+            for number, places in zip(*(batch.column(c).to_pylist() for c in ("slice", "places"))):
+                own = counts.setdefault(number, np.zeros(1 << SLICE_BITS, dtype=np.uint16))
+                at, n = np.unique(np.frombuffer(places, "<u4"), return_counts=True)
+                own[at] = np.minimum(own[at] + n, 65535)
+        for number, own in counts.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number] * len(thresholds), pa.int32()), pa.array(thresholds, pa.int32()),
+                 pa.array([np.packbits(own >= t, bitorder="little").tobytes() for t in thresholds],
+                          pa.binary())], ["slice", "least", "bits"])
+    return reached
+
+
+def _bitsets(places, thresholds):
+    """For each threshold a broadcast bitset of the buckets with at least that count."""
+    spark = places.sparkSession
+    dealt = places.repartition(1 << BUCKET_BITS - SLICE_BITS, "slice")
+    found = mapped(dealt, _reached(thresholds), "slice int, least int, bits binary").toArrow()
+    size = 1 << SLICE_BITS - 3
+    sets = {t: np.zeros(1 << BUCKET_BITS - 3, dtype=np.uint8) for t in thresholds}
+    for number, least, bits in zip(*(found.column(c).to_pylist() for c in (
+            "slice", "least", "bits"))):
+        sets[least][number * size:(number + 1) * size] = np.frombuffer(bits, np.uint8)
+    return [spark.sparkContext.broadcast(sets[t]) for t in thresholds]
+
+
+class Order:
+    """The global order of elements from which anchors are taken.
+
+    The share of all elements below ``limit`` was counted. Those counted once come first,
+    as they meet no one; then those of few sets, then the uncounted, then the common ones.
+    """
 
-def first_elements(elements, common, threshold):
-    """The anchors of a sorted set: common elements come last, others by hash."""
-    n = threshold.anchors(len(elements))
-    if common is None:
-        return elements[:n]
-    late = _flags(common, elements)
-    early = elements[~late][:n]
-    return early if len(early) == n else np.concatenate([early, elements[late][:n - len(early)]])
+    def __init__(self, limit, repeated=None, common=None):
+        self.limit, self.repeated, self.common = np.uint64(limit), repeated, common
+
+    def first(self, elements, n):
+        """The first n of a sorted set."""
+        counted = int(np.searchsorted(elements, self.limit))
+        own = elements[:counted]
+        common = _flags(self.common.value, own)
+        repeated = _flags(self.repeated.value, own) & ~common
+        ranked = [own[~repeated & ~common], own[repeated], elements[counted:], own[common]]
+        return np.concatenate(ranked)[:n]
 
 
 def sketch(elements):
@@ -107,40 +169,24 @@ def _fresh(column, size, seen):
         yield row, elements, digest, first
 
 
-def _anchored(size, threshold, common):
-    def anchored(batches):
+def _placed(size, chosen):
+    """Buckets of the chosen elements of every set, once for each task that meets it."""
+    def placed(batches):
         seen = set()
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
-                found = [first_elements(e, common and common.value, threshold)
-                         for _, e, _, first in _fresh(batch.column("text"), size, seen) if first]
+            for batch in slices(whole, "text", 4 << 20):
+                found = [chosen(e) for _, e, _, first in _fresh(batch.column("text"), size, seen)
+                         if first]
                 if found:
-                    buckets = np.concatenate(found) >> np.uint64(64 - BUCKET_BITS)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(buckets.astype(np.int32))], ["bucket"])
-    return anchored
-
-
-def _bitset(spark, counts, least):
-    """Bits of the buckets with at least that count; of a size that is fixed."""
-    words = counts.where(F.col("n") >= least).groupBy(
-        F.shiftright("bucket", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, bucket & 63)")).alias("bits")).toArrow()
-    bits = np.zeros(1 << BUCKET_BITS - 6, dtype=np.uint64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint64)
-    return spark.sparkContext.broadcast(bits)
-
-
-def _bucket_counts(docs, size, threshold, common):
-    return mapped(docs.select("text"), _anchored(size, threshold, common), "bucket int") \
-        .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+                    yield _sliced(np.concatenate(found))
+    return placed
 
 
 _ROWS = ("row long, doc_id long, digest binary, n int, anchors array<long>, "
          "crowded array<long>, sketch binary")
 
 
-def _described(size, threshold, common, shared, crowded):
+def _described(size, threshold, order, shared, crowded):
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()),
              pa.list_(pa.int64()), pa.binary()]
     names = ["row", "doc_id", "digest", "n", "anchors", "crowded", "sketch"]
@@ -154,7 +200,7 @@ def _described(size, threshold, common, shared, crowded):
                 for i, elements, digest, first in _fresh(batch.column("text"), size, seen):
                     some = more = bits = None
                     if first:
-                        own = first_elements(elements, common.value, threshold)
+                        own = order.first(elements, threshold.anchors(len(elements)))
                         own = own[_flags(shared.value, own)]
                         many = _flags(crowded.value, own)
                         some, more = (own[~many].astype(np.int64).tolist(),
@@ -241,7 +287,7 @@ def _sets(size, wanted):
             for batch in slices(whole, "text", 2 << 20):
                 digests, blobs = [], []
                 for _, elements, digest, first in _fresh(batch.column("text"), size, seen):
-                    if first and _flags(wanted.value, _place(digest))[0]:
+                    if first and _flags(wanted.value, _place(digest[:8]))[0]:
                         digests.append(digest)
                         blobs.append(elements.tobytes())
                 yield pa.RecordBatch.from_arrays(
@@ -251,7 +297,14 @@ def _sets(size, wanted):
 
 
 def _place(digest):
-    return np.frombuffer(digest[:8], dtype=">u8").astype(np.uint64)
+    return np.frombuffer(digest, dtype="<u8").astype(np.uint64)
+
+
+def _digest_places(batches):
+    for batch in batches:
+        digests = batch.column("digest").to_pylist()
+        if digests:
+            yield _sliced(_place(b"".join(d[:8] for d in digests)))
 
 
 class Region:
@@ -482,29 +535,33 @@ def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS,
     end, so copies cost nothing; repeated rows stay; other columns are left out; an empty
     table gives an empty result.
     """
-    spark, threshold = docs.sparkSession, Threshold(num, den)
+    threshold = Threshold(num, den)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    late = _bitset(spark, _bucket_counts(docs, size, threshold, None), common)
-    counts = written(_bucket_counts(docs, size, threshold, late).where("n > 1"), "anchor-counts")
-    shared, crowded = _bitset(spark, counts, 2), _bitset(spark, counts, members)
-    rows = written(mapped(docs, _described(size, threshold, late, shared, crowded), _ROWS),
+    texts = docs.select("text")
+    # Four times as many elements as anchors are counted: enough that most sets find as many
+    # anchors among those of no other set.
+    limit = min((1 << 64) - 1, int((1 - num / den) * 4 * (1 << 64)))
+    order = Order(limit, *_bitsets(
+        mapped(texts, _placed(size, lambda e: e[:np.searchsorted(e, np.uint64(limit))]), _PLACES),
+        [2, common]))
+    shared, crowded = _bitsets(
+        mapped(texts, _placed(size, lambda e: order.first(e, threshold.anchors(len(e)))), _PLACES),
+        [2, members])
+    rows = written(mapped(docs, _described(size, threshold, order, shared, crowded), _ROWS),
                    "described")
     classes = rows.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("cid"), F.min("doc_id").alias("least"))
     heads = rows.where("sketch IS NOT NULL").join(classes.select("cid"), F.col("row") == F.col("cid"))
     met = heads.select(F.explode("anchors").alias("anchor"), "cid", "n", "sketch")
-    met = met.repartition(parallelism(spark), "anchor").sortWithinPartitions("anchor")
+    met = met.repartition(parallelism(docs.sparkSession), "anchor").sortWithinPartitions("anchor")
     near = mapped(met, _meeting(threshold), "a long, b long")
     crowds = heads.select(F.explode("crowded").alias("anchor"), "cid")
     hubs = crowds.groupBy("anchor").agg(F.min("cid").alias("a"))
     near = near.union(crowds.join(hubs, "anchor").select("a", F.col("cid").alias("b")))
     coarse = components(near).select(F.col("node").alias("cid"), F.col("label").alias("region"))
     involved = written(heads.select("cid", "digest").join(coarse, "cid"), "involved")
-    buckets = involved.select(F.shiftrightunsigned(
-        F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long"), 64 - BUCKET_BITS)
-        .cast("int").alias("bucket"), F.lit(2).alias("n"))
-    sets = mapped(docs.select("text"), _sets(size, _bitset(spark, buckets, 2)),
-                  "digest binary, elements binary")
+    wanted, = _bitsets(mapped(involved.select("digest"), _digest_places, _PLACES), [1])
+    sets = mapped(texts, _sets(size, wanted), "digest binary, elements binary")
     regions = involved.join(sets, "digest").select("region", "cid", "elements")
     links = _joined(written(regions, "regions"), threshold, leaf)
     labels = components(links).select(F.col("node").alias("cid"), "label")
