@@ -151,6 +151,18 @@ def test_ingest_steps(spark):
     assert MIN_ROWS == 20
 
 
+def test_file_status_becomes_an_ingest_report(spark, folder):
+    (folder / "CCC_2018_2026.csv").write_bytes(b"\xff\xfe\x00bad\xff\n1,2\n")
+    status = ingest.files_status(csv_scan.file_status(spark, str(folder)))
+    assert {r.unit: r.status for r in status.collect()} == {
+        "AAA_2018_2026": "ok", "BBB_2018_2026": "ok", "CCC_2018_2026": "failed"}
+    assert [(r.unit, r.reason) for r in ingest.failed_units(status).collect()] == [
+        ("CCC_2018_2026", "unreadable: header isn't UTF-8")]
+    assert {r.status: (r.units, r.first_unit) for r in
+            ingest.ingest_summary(status).collect()} == {
+        "ok": (2, "AAA_2018_2026"), "failed": (1, "CCC_2018_2026")}
+
+
 def cells(n, first="<b>1</b>"):
     return "".join(f"<td class='x'> {first if i == 0 else i} </td>" for i in range(n))
 

@@ -95,6 +95,21 @@ def load_summary(series_df):
                           F.count(F.lit(1)).alias("n_series"))
 
 
+def load_summaries(df, keys, date, value):
+    """``load_summary`` of several series frames over one table, in one pass.
+
+    ``keys`` names each frame and the column that is its series. Rows of one day combine on
+    the map side, so what is shuffled is a row per source, series, day and task.
+    """
+    sources = F.array(*[F.struct(F.lit(name).alias("source"), key.cast("string").alias("series"))
+                        for name, key in keys.items()])
+    days = df.filter(date.isNotNull() & value.isNotNull()).select(
+        F.inline(sources), date.alias("date")).distinct()
+    per_series = days.groupBy("source", "series").agg(F.count(F.lit(1)).alias("rows"))
+    return per_series.groupBy("source").agg(F.sum("rows").alias("n_rows"),
+                                            F.count(F.lit(1)).alias("n_series"))
+
+
 def series_keys(series_df):
     """Sorted list of series names, as a frame."""
     return series_df.select("series").distinct().orderBy("series")

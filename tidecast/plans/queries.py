@@ -65,14 +65,14 @@ def canonical_events(spark, folder):
 
 @query
 def load_summary(spark, folder):
-    sources = {"bars": tables.bars, "supplier_bars": tables.supplier_bars,
-               "order_days": tables.order_days, "customer_orders": tables.customer_orders}
-    parts = [series.load_summary(read(spark, folder)).withColumn("source", F.lit(name))
-             for name, read in sources.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    items = tables.read_table(spark, folder, "lineitem")
+    orders = tables.read_table(spark, folder, "orders")
+    lines = series.load_summaries(
+        items, {"bars": F.col("l_returnflag"), "supplier_bars": F.col("l_suppkey")},
+        F.to_date("l_shipdate"), F.col("l_extendedprice"))
+    return lines.unionByName(series.load_summaries(
+        orders, {"order_days": F.col("o_orderpriority"), "customer_orders": F.col("o_custkey")},
+        F.to_date("o_orderdate"), F.col("o_totalprice")))
 
 
 @query
