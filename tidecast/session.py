@@ -46,7 +46,8 @@ def shared_dir(spark):
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tidecast-")
         spark.conf.set("spark.checkpoint.dir", folder)
