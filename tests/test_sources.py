@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,16 +77,17 @@ def test_odd_files_read_alike_beside_one_header_or_two(spark, folder, more):
 
 
 def test_wide_header_and_many_headers(spark, tmp_path):
-    names = [f"column_{i:05d}_of_a_wide_file" for i in range(3000)]
-    write(tmp_path, "wide.csv", ",".join(names), ",".join(map(str, range(3000))))
+    names = [f"column_{i:03d}_{'x' * 400}" for i in range(180)]
+    assert len(",".join(names)) > 65536
+    write(tmp_path, "wide.csv", ",".join(names), ",".join(map(str, range(180))))
     row = csv_scan.scan_files(spark, str(tmp_path)).select(names[0], names[-1]).first()
-    assert tuple(row) == ("0", "2999")
+    assert tuple(row) == ("0", "179")
     (tmp_path / "many").mkdir()
-    for i in range(1001):
-        write(tmp_path / "many", f"{i}.csv", f"b{i % 3},a{'x' * i}", f"{i},t")
+    for i, names in enumerate(itertools.islice(itertools.permutations("abcdefg"), 1001)):
+        write(tmp_path / "many", f"{i}.csv", ",".join(names), ",".join(f"{n}{i}" for n in names))
     many = csv_scan.scan_files(spark, str(tmp_path / "many"))
-    assert len(many.columns) == 1004
-    assert many.agg(F.count("b0"), F.count("b1"), F.count("b2")).first() == (334, 334, 333)
+    assert sorted(many.columns) == list("abcdefg")
+    assert many.agg(*[F.count_if(F.col(c).startswith(c)) for c in "abcdefg"]).first() == (1001,) * 7
 
 
 def test_no_readable_file_is_an_error(spark, tmp_path):

@@ -92,7 +92,8 @@ def scan_files(spark, folder, pattern="*.csv"):
         F.array(*[f"_c{i}" for i in range(width)]).alias("cells"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"))
-    places = F.array(*[F.array_position("names", r["name"]).cast("int") - 1 for r in found])
+    places = F.transform(F.array(*[F.lit(r["name"]) for r in found]),
+                         lambda name: F.array_position("names", name).cast("int") - 1)
     blocks = rows.select("file_path", "block").distinct().join(
         readable.select("file_path", places.alias("places")), "file_path")
 
