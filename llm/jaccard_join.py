@@ -25,7 +25,7 @@ from llm.words import UNSPACED, Words, mix, slices, utf8
 #: Elements are counted in 2**BUCKET_BITS buckets, of which a slice of 2**SLICE_BITS is one
 #: array; so what is broadcast has a fixed size. Bucket collisions only make elements look
 #: more common than they are, which changes their order and not the result.
-BUCKET_BITS, SLICE_BITS = 27, 21
+BUCKET_BITS, SLICE_BITS = 27, 18
 #: Elements of so many sets come last in the order; members of an anchor that are compared
 #: in one task; members of a leaf region.
 COMMON, MEMBERS, LEAF = 16, 1000, 1000
@@ -118,7 +118,8 @@ def _reached(thresholds):
 def _bitsets(places, thresholds):
     """For each threshold a broadcast bitset of the buckets with at least that count."""
     spark = places.sparkSession
-    dealt = places.repartition(1 << BUCKET_BITS - SLICE_BITS, "slice")
+    parts = min(1 << BUCKET_BITS - SLICE_BITS, parallelism(spark))
+    dealt = places.repartition(parts, "slice")
     found = mapped(dealt, _reached(thresholds), "slice int, least int, bits binary").toArrow()
     size = 1 << SLICE_BITS - 3
     sets = {t: np.zeros(1 << BUCKET_BITS - 3, dtype=np.uint8) for t in thresholds}
