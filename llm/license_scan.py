@@ -1,10 +1,11 @@
 """License scan by a positional index of rare licence words.
 
-The index maps each word of the licence templates to its postings (template, position). Of
-the licence words in a file the ones with the highest inverse document frequency, counted
-over the whole corpus, are looked up; a posting and a place in the file give a relative
-position, and where several rare words agree on one the template may begin there. Such an
-alignment counts if the template's mandatory key phrases stand within it.
+The words of each licence template have their positions in it. For every template whose
+mandatory key phrases are in a file, its words in the file are looked up from the highest
+inverse document frequency, counted over the whole corpus, down to where no alignment that
+covers enough of the template can avoid them; a position and a place in the file give a
+relative position, and where several words agree on one the template may begin there. Such an
+alignment counts if the key phrases stand within it.
 """
 
 import math
@@ -51,9 +52,9 @@ TEMPLATES = {
         permission notice appear in all copies""", ["for any purpose with or without fee"]),
 }
 
-#: Rarest licence words of a file that are looked up; words that must agree on a place;
-#: words by which an alignment may shift; share of a template that must be covered.
-RARE, AGREE, SHIFT, COVER = 8, 3, 3, 0.6
+#: Places of a template that must agree on where it begins; words by which an alignment may
+#: shift; share of a template that must be covered.
+AGREE, SHIFT, COVER = 3, 3, 0.6
 
 
 def _hash_words(phrase):
@@ -63,7 +64,7 @@ def _hash_words(phrase):
 
 
 class Index:
-    """Postings of the templates' words."""
+    """The templates' words and key phrases as hashes."""
 
     def __init__(self, templates=None, phrases=None):
         templates = TEMPLATES if templates is None else templates
@@ -77,10 +78,6 @@ class Index:
             words.update(zip(*(x for x in _hash_words(templates[name][0]))))
         self.vocabulary = np.array(sorted(words), dtype=np.uint64)
         self.words = [words[h].decode() for h in self.vocabulary]
-        self.postings = [[] for _ in words]
-        for t, body in enumerate(self.bodies):
-            for at, w in enumerate(np.searchsorted(self.vocabulary, body)):
-                self.postings[w].append((t, at))
 
     def entries(self, hashes):
         """Places whose word is in the vocabulary, and its number."""
@@ -100,35 +97,72 @@ def places_of(phrase, hashes):
     return found
 
 
-def aligned(index, idf, hashes, places, entries):
-    """[(template, first word, coverage)] that the file's rarest licence words agree on."""
-    present = np.unique(entries)
-    if len(present) < AGREE:
-        return []
-    order = np.lexsort((index.vocabulary[present], -idf[present]))
-    votes = {}
-    for w in present[order][:RARE]:
-        for t, q in index.postings[w]:
-            for first in set(((places[entries == w] - q) // SHIFT).tolist()):
-                votes.setdefault((t, first), set()).add(w)
-    best = {}
-    for (t, bin_) in votes:
-        words = votes[t, bin_] | votes.get((t, bin_ + 1), set())
-        if len(words) < min(AGREE, len(set(index.bodies[t].tolist()))):
-            continue
-        body = index.bodies[t]
-        low, high = bin_ * SHIFT, (bin_ + 2) * SHIFT
-        hit = np.zeros(len(body), dtype=bool)
-        for first in range(low, high):
-            a, b = max(0, -first), min(len(body), len(hashes) - first)
-            if b > a:
-                hit[a:b] |= body[a:b] == hashes[first + a:first + b]
-        covered = float(hit.mean())
-        near = hashes[max(0, low - SHIFT):high + len(body) + SHIFT]
-        if all(len(places_of(k, near)) for k in index.keys[t]) \
-                and covered > best.get(t, (0, 0))[1]:
-            best[t] = (max(0, low), covered)
-    return [(t, first, covered) for t, (first, covered) in best.items()]
+def with_keys(index, words, hashes):
+    """{document: [(template, places of each of its key phrases)]} where none is missing."""
+    found = {}
+    for t, keys in enumerate(index.keys):
+        docs, at = np.arange(len(words.bounds) - 1), []
+        for key in keys:
+            first = places_of(key, hashes)
+            doc = np.searchsorted(words.bounds, first, "right") - 1
+            inside = first + len(key) <= words.bounds[doc + 1]
+            at.append((first[inside], doc[inside]))
+            docs = np.intersect1d(docs, doc[inside])
+        for d in docs.tolist():
+            found.setdefault(d, []).append(
+                (t, [first[doc == d] - words.bounds[d] for first, doc in at]))
+    return found
+
+
+def _windows(index, idf, t, places, entries):
+    """Bins in which template t may begin so that COVER of it is there; none is missed.
+
+    The template's places are looked up from the rarest word on, until so few are left that
+    an alignment that covers enough has AGREE of those looked up.
+    """
+    body = np.searchsorted(index.vocabulary, index.bodies[t])
+    n = len(body)
+    enough = next((m for m in range(1, n + 1) if m / n >= COVER), n + 1)
+    present = np.isin(body, entries)
+    if present.sum() < enough:
+        return np.zeros(0, dtype=np.int64)
+    # Places whose word isn't in the file come first: they cost nothing.
+    looked = np.lexsort((body, -idf[body], present))[:n - enough + min(AGREE, enough)]
+    pairs = []
+    for w in np.unique(body[looked[present[looked]]]):
+        at = places[entries == w]
+        pairs += [(at - q) // SHIFT * n + q for q in looked[body[looked] == w].tolist()]
+    pairs = np.concatenate(pairs)
+    pairs = np.unique(np.concatenate([pairs, pairs - n]))  # a window is a bin and the next
+    bins, votes = np.unique(pairs // n, return_counts=True)
+    return bins[votes >= len(looked) - n + enough]
+
+
+def aligned(index, idf, hashes, templates):
+    """[(template, first word, coverage)] of the best alignment of each of the templates.
+
+    ``templates`` has their key phrases' places, as from ``with_keys``. Of equal alignments
+    the one that most words place in its own bin counts, then the first.
+    """
+    places, entries = index.entries(hashes)
+    found = []
+    for t, keys in templates:
+        body, best = index.bodies[t], (COVER, -1, 0)
+        bins = _windows(index, idf, t, places, entries)
+        for key, at in zip(index.keys[t], keys):
+            first = np.searchsorted(at, (bins - 1) * SHIFT)
+            at = np.append(at, len(hashes) + 2 * len(body) + 9 * SHIFT)
+            bins = bins[at[first] + len(key) <= (bins + 3) * SHIFT + len(body)]
+        for bin_ in bins.tolist():
+            hit = np.zeros((2, len(body)), dtype=bool)
+            for first in range(bin_ * SHIFT, (bin_ + 2) * SHIFT):
+                a, b = max(0, -first), min(len(body), len(hashes) - first)
+                if b > a:
+                    hit[first // SHIFT - bin_, a:b] |= body[a:b] == hashes[first + a:first + b]
+            best = max(best, (float(hit.any(axis=0).mean()), int(hit[0].sum()), -bin_))
+        if best[1] >= 0:
+            found.append((t, max(0, -best[2] * SHIFT), best[0]))
+    return found
 
 
 def _counted(index):
@@ -171,8 +205,7 @@ def _scan(index, idf):
             for batch in slices(whole, "text", 4 << 20):
                 words = Words(*utf8(batch.column("text")), ALNUM)
                 hashes = words.hashes()
-                places, entries = index.entries(hashes)
-                cuts = np.searchsorted(places, words.bounds)
+                templates = with_keys(index, words, hashes)
                 found = {}
                 for phrase, text, label in index.phrases:
                     at = places_of(phrase, hashes)
@@ -185,9 +218,7 @@ def _scan(index, idf):
                 for d, key in enumerate(batch.column("doc_id").to_pylist()):
                     a, b = int(words.bounds[d]), int(words.bounds[d + 1])
                     base = found.get(d, [])
-                    own = slice(int(cuts[d]), int(cuts[d + 1]))
-                    more = [x for x in aligned(index, idf, hashes[a:b], places[own] - a,
-                                               entries[own]) if x[2] >= COVER]
+                    more = aligned(index, idf, hashes[a:b], templates[d]) if d in templates else []
                     firsts = [i for i, _ in base]
                     labels = {label for _, label in base}
                     row = (key, b - a, len(base), min(firsts, default=None),
