@@ -1,5 +1,7 @@
 import datetime as dt
+import gzip
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +78,24 @@ def test_odd_files_read_alike_beside_one_header_or_two(spark, folder, more):
     assert ('Close, "net"' in raw.columns) == more
 
 
+def test_a_compressed_file_cut_off_is_left_out_as_a_whole(spark, folder):
+    r = random.Random(2)
+    lines = [HEADER] + [record(i, "04/01/2026", "LONG", r.randrange(10 ** 9)) for i in range(40_000)]
+    packed = gzip.compress("\n".join(lines).encode())
+    (folder / "whole.csv.gz").write_bytes(packed)
+    (folder / "cut #1 a%20b.csv.gz").write_bytes(packed[:len(packed) // 2])
+    flipped = bytearray(packed)
+    flipped[-6] ^= 1  # in the checksum or the length
+    (folder / "flipped.csv.gz").write_bytes(bytes(flipped))
+    raw = csv_scan.scan_files(spark, str(folder), "*.csv*")
+    assert dict(raw.groupBy("Ticker").count().collect()) == {"AAA": 2, "BBB": 1, "LONG": 40_000}
+    status = {r.file_path.rsplit("/", 1)[1]: (r.status, r.error)
+              for r in csv_scan.file_status(spark, str(folder), "*.csv*").collect()}
+    assert status.pop("whole.csv.gz") == ("ok", None)
+    broken = [v for k, v in status.items() if k.endswith(".gz")]
+    assert broken == [("unreadable", "not readable to its end")] * 2
+
+
 def test_wide_header_and_many_headers(spark, tmp_path):
     names = [f"column_{i:03d}_{'x' * 400}" for i in range(180)]
     assert len(",".join(names)) > 65536

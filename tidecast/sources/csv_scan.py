@@ -1,6 +1,9 @@
 """Reading directories of raw daily CSV files into the canonical series."""
 
-from pyspark.errors import AnalysisException
+import re
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,18 +22,58 @@ def read_raw(spark, folder):
                                              mode="PERMISSIVE")
 
 
+#: Names of files that Spark's readers decompress.
+COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst|zstd)$"
+
+
+def _but(frame, left_out):
+    """Rows of a file scan without those of some files, which aren't opened."""
+    return frame.where(~F.col("_metadata.file_path").isin(left_out)) if left_out else frame
+
+
+def _torn(spark, location):
+    """Paths of the compressed files whose whole read doesn't reach their end.
+
+    One pass reads all compressed files; each broken one is found by the error it raises and
+    costs one pass more.
+    """
+    path, torn = F.col("_metadata.file_path"), []
+    files = spark.read.format("binaryFile").load(location)
+    if files.where(F.rlike(path, F.lit(COMPRESSED))).select("length").isEmpty():
+        return torn
+    while True:
+        lines = spark.read.option("ignoreCorruptFiles", False).text(location)
+        try:
+            _but(lines.where(F.rlike(path, F.lit(COMPRESSED))), torn).agg(
+                F.max(F.length("value"))).collect()
+            return torn
+        except (Py4JJavaError, PySparkException) as error:
+            named = re.search(r"\[FAILED_READ_FILE\.NO_HINT\] .*? reading file (\S+)\. ", str(error))
+            # The message has file:///x where the metadata column has file:/x.
+            name = named and re.sub(r"^([\w+.-]+):///", r"\1:/", named[1])
+            if not name or name in torn:
+                raise
+            torn.append(name)
+
+
 def file_status(spark, folder, pattern="*.csv"):
     """(file_path, header, status, error) of every file, all by Spark's own readers.
 
     The header is the first line that isn't blank. A file whose header isn't UTF-8 is
-    unreadable, one without any line is empty, and one whose bytes cannot be read (a broken
-    compressed file, say) is unreadable too. Raises AnalysisException where nothing matches.
+    unreadable, one without any line is empty, and a compressed one that cannot be read to
+    its end is unreadable too; compressed files are read for that at once. Any other read
+    error fails its task. Raises AnalysisException where nothing matches.
     """
-    location = f"{folder}/{pattern}"
+    return _status(spark, f"{folder}/{pattern}")[0]
+
+
+def _status(spark, location):
+    """The status of every file, and the paths of the torn ones."""
     listed = (spark.read.format("binaryFile").load(location)
               .select(F.col("_metadata.file_path").alias("file_path"), "length"))
+    torn = _torn(spark, location)
     blank = F.trim(F.regexp_replace("value", "^\ufeff|[\r\t]", "")) == ""
-    lines = (spark.read.option("ignoreCorruptFiles", True).text(location)
+    lines = (_but(spark.read.option("ignoreCorruptFiles", False).text(location), torn)
              .select(F.col("_metadata.file_path").alias("file_path"), "value",
                      F.struct(F.col("_metadata.file_block_start"),
                               F.monotonically_increasing_id()).alias("place")))
@@ -39,14 +82,16 @@ def file_status(spark, folder, pattern="*.csv"):
         F.count(F.lit(1)).alias("lines"))
     valid = F.is_valid_utf8("line")
     known = listed.join(first, "file_path", "left")
-    return known.select(
+    whole = ~F.col("file_path").isin(torn) if torn else F.lit(True)
+    status = known.select(
         "file_path",
         F.when(valid, F.trim(F.regexp_replace("line", "^\ufeff|\r$", ""))).alias("header"),
-        F.when(F.col("lines").isNull() & (F.col("length") > 0), "unreadable")
+        F.when(~whole | F.col("lines").isNull() & (F.col("length") > 0), "unreadable")
         .when(F.col("line").isNull(), "empty")
         .when(valid, "ok").otherwise("unreadable").alias("status"),
-        F.when(F.col("line").isNull(), "no header").when(~valid, "header isn't UTF-8")
-        .alias("error"))
+        F.when(~whole, "not readable to its end").when(F.col("line").isNull(), "no header")
+        .when(~valid, "header isn't UTF-8").alias("error"))
+    return status, torn
 
 
 def _names(header):
@@ -71,7 +116,7 @@ def scan_files(spark, folder, pattern="*.csv"):
     the raw columns, where no file matches.
     """
     try:
-        status = file_status(spark, folder, pattern)
+        status, torn = _status(spark, f"{folder}/{pattern}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -86,9 +131,9 @@ def scan_files(spark, folder, pattern="*.csv"):
             raise ValueError(f"no file under {folder} is readable: {dict(map(tuple, failed))}")
         return spark.createDataFrame([], RAW_SCHEMA)
     width = readable.agg(F.max(F.size("names"))).first()[0]
-    reader = spark.read.option("ignoreCorruptFiles", True)
-    rows = reader.schema(_text_schema([f"_c{i}" for i in range(width)])).csv(
-        f"{folder}/{pattern}", header=True, maxColumns=max(width, 20480)).select(
+    reader = spark.read.option("ignoreCorruptFiles", False)
+    rows = _but(reader.schema(_text_schema([f"_c{i}" for i in range(width)])).csv(
+        f"{folder}/{pattern}", header=True, maxColumns=max(width, 20480)), torn).select(
         F.array(*[f"_c{i}" for i in range(width)]).alias("cells"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"))
