@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, quality
-from llm.frames import table, without, written
+from llm.frames import numbered, table, without, written
+
+#: Decisions are about rows: ids may be null or repeat.
+ROW = "row_of_stage"
 
 
 def quality_classifier(spark, docs, sf_dir):
@@ -24,14 +27,22 @@ def exact_copies(spark, docs, sf_dir):
 
 def near_copies(spark, docs, sf_dir):
     """The first document of each group that five-word shingles link at 0.8 or more."""
-    found = jaccard_join.jaccard_join(docs)
-    return without(docs, "doc_id", found.where("doc_id <> component_id"))
+    rows = numbered(docs, ROW)
+    found = jaccard_join.jaccard_join(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    found = written(found.select(F.col("doc_id").alias(ROW), "component_id"), "near-copies")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", ROW)
+    first = found.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(
+        F.min(order).alias("least")).select(F.col(f"least.{ROW}").alias(ROW))
+    return without(rows, ROW, found.join(first, ROW, "left_anti")).select(docs.columns)
 
 
 def benchmark_texts(spark, docs, sf_dir):
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, "doc_id", found.where("contaminated"))
+    rows = numbered(docs, ROW)
+    found = decontaminate.decontaminate(rows.select(F.col(ROW).alias("doc_id"), "text"),
+                                        table(spark, sf_dir, "benchmark"))
+    hit = found.where("contaminated").select(F.col("doc_id").alias(ROW))
+    return without(rows, ROW, hit).select(docs.columns)
 
 
 def token_ids(spark, docs, sf_dir):

@@ -23,6 +23,12 @@ def written(frame: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, key: str) -> DataFrame:
+    """The frame, written with a column that numbers its rows, each by another number."""
+    return written(frame.withColumn(key, F.monotonically_increasing_id()), "numbered",
+                   compression="zstd")
+
+
 #: Bytes of an Arrow batch between the JVM and a Python worker: rows may be long.
 BATCH_BYTES = 4 << 20
 
