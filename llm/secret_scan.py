@@ -3,8 +3,8 @@
 Base findings are single strings that look like secrets by themselves. A credential often
 has several parts, an access identifier, a secret and an endpoint, and some parts only look
 suspicious beside the others. Those weak candidates are found per kind as intervals of a
-text and interval-joined within scopes: the paragraph, and at most ``reach`` characters
-around a part. A weak candidate is reported only where complementary parts co-occur.
+text and interval-joined within scopes: the paragraph, or with ``reach`` at most so many
+characters around a part in it. A weak candidate is reported only where complementary parts co-occur.
 """
 
 import hashlib
@@ -108,32 +108,53 @@ def linked_parts(text, base, reach=REACH):
     breaks = np.array([0] + [m.end() for m in PARAGRAPH.finditer(text)] + [len(text) + 1])
 
     def near(spans, others):
-        if not spans or not others:
-            return np.zeros(len(spans), dtype=bool), np.zeros(len(spans), dtype=np.int64)
-        starts = np.array([s for s, _ in spans])
-        ends = np.array([e for _, e in spans])
+        starts = np.array([s for s, _ in spans], dtype=np.int64)
+        ends = np.array([e for _, e in spans], dtype=np.int64)
         scope = np.searchsorted(breaks, starts, "right")
-        low = np.maximum(starts - reach, breaks[scope - 1])
-        high = np.minimum(ends + reach, breaks[np.minimum(scope, len(breaks) - 1)])
-        lo, hi = interval_join(spans, others, low, high)
-        return hi > lo, lo
+        low, high = breaks[scope - 1], breaks[np.minimum(scope, len(breaks) - 1)]
+        if reach is not None:
+            low, high = np.maximum(starts - reach, low), np.minimum(ends + reach, high)
+        return interval_join(spans, others, low, high)
 
     beside = {}
     for name, spans, complements in (
             ("identifier", weak["identifier"], (secrets,)),
             ("secret", weak["secret"], (identifiers, endpoints)),
             ("endpoint", endpoints, (identifiers, secrets))):
-        flags = [near(spans, others)[0] for others in complements]
+        flags = [np.less(*near(spans, others)) for others in complements]
         keep = flags[0] if len(flags) == 1 else \
             flags[0] | flags[1] if name == "secret" else flags[0] & flags[1]
         beside[name] = [x for x, ok in zip(spans, keep) if ok]
     links = []
     for other, others in (("identifier", identifiers), ("endpoint", endpoints)):
-        ok, first = near(secrets, others)
-        links += [(secret, other, others[at]) for secret, yes, at in zip(secrets, ok, first) if yes]
+        lo, hi = near(secrets, others)
+        for i, at in _nearest(text, secrets, others, lo, hi, breaks):
+            links.append((secrets[i], other, others[at], int(hi[i] - lo[i]),
+                          (others[lo[i]][0], others[hi[i] - 1][1])))
     return beside, links
 
 
+def _nearest(text, spans, others, lo, hi, breaks):
+    """(span, partner) for each span with partners lo..hi: the one the fewest lines away.
+
+    Of the ones before and after at equal distance it is the one before where the paragraph
+    begins with a partner, else the one after.
+    """
+    own = np.flatnonzero(hi > lo)
+    if not len(own):
+        return
+    lines = np.array([m.start() for m in re.finditer("\n", text)], dtype=np.int64)
+    starts, places = np.array([s for s, _ in spans]), np.array([s for s, _ in others])
+    at = np.searchsorted(places, starts[own])
+    before, after = (np.clip(x, lo[own], hi[own] - 1) for x in (at - 1, at))
+    line = np.searchsorted(lines, starts[own])
+    back, ahead = (abs(np.searchsorted(lines, places[x]) - line) for x in (before, after))
+    begin = breaks[np.searchsorted(breaks, starts[own], "right") - 1]
+    leads = places[np.searchsorted(places, begin)] < starts[np.searchsorted(starts, begin)]
+    yield from zip(own.tolist(), np.where((back < ahead) | (back == ahead) & leads,
+                                          before, after).tolist())
+
+
 def _listed(spans):
     return ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(
         (s, KINDS.index(k), e, k) for k, found in spans.items() for s, e in found))
@@ -154,7 +175,8 @@ def _scan(reach):
                 row = (key, len(base["assign"]), len(base["access"]), len(base["hex"]),
                        hashlib.sha256(_listed(base).encode()).hexdigest(),
                        _listed(base | parts), sum(map(len, parts.values())),
-                       [f"secret:{a}:{b}-{kind}:{c}:{d}" for (a, b), kind, (c, d) in links])
+                       [f"secret:{a}:{b}-{kind}:{c}:{d}-{n}:{first}:{last}"
+                        for (a, b), kind, (c, d), n, (first, last) in links])
                 for column, value in zip(out, row):
                     column.append(value)
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64(), pa.list_(pa.string())]
@@ -165,13 +187,15 @@ def _scan(reach):
     return scan
 
 
-def scan_secrets(docs, reach=REACH):
+def scan_secrets(docs, reach=None):
     """One row for each row of ``docs(doc_id, text)``; other columns are left out.
 
     ``n_assign``, ``n_access``, ``n_hex`` count the base findings and ``base_sha256`` digests
     their list of ``kind:start:end``. ``spans`` lists them with the weak candidates that
-    were linked, ``links`` joins each secret to the first identifier and the first endpoint
-    in its scope. Places are code points, ends exclusive. Null text counts as empty, a null
+    were linked. ``links`` joins each secret to the identifiers and to the endpoints in its
+    scope, the paragraph or at most ``reach`` characters of it: the span of the nearest one,
+    then the number of all of them, the start of the first and the end of the last; as spans
+    of a kind are disjoint, all of them lie in that range and no other does. Places are code points, ends exclusive. Null text counts as empty, a null
     ``doc_id`` and repeated rows stay as they are, an empty table gives an empty result.
     """
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
