@@ -178,6 +178,27 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def sampled(rows, size):
+    """Ids of rows (class, order, id, bytes) within a budget that the classes share.
+
+    A class is filled in its order; a text too long for what is left is passed over, and
+    what a class doesn't use goes to the others.
+    """
+    classes = {}
+    for value, *row in sorted(rows):
+        classes.setdefault(value, []).append(row)
+    kept = []
+    smallest = sorted(classes.values(), key=lambda own: (sum(n for *_, n in own), own))
+    for i, own in enumerate(smallest):
+        left = share = size // (len(smallest) - i)
+        for _, key, n in own:
+            if n <= left:
+                kept.append(key)
+                left -= n
+        size -= share - left
+    return kept
+
+
 def train(docs, labels, rows=SAMPLE_ROWS, size=SAMPLE_BYTES):
     """The network of a bounded sample of labelled rows.
 
@@ -200,16 +221,14 @@ def train(docs, labels, rows=SAMPLE_ROWS, size=SAMPLE_BYTES):
                                            "UTF-8").alias("text")) \
         .join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id") \
         .select("doc_id", "quality", "text", F.length("text").alias("size"))
-    sizes = texts.select("doc_id", "quality", "size").collect()
-    kept, total = set(), 0
-    for doc_id, _, n in sorted(sizes, key=lambda r: (r["size"], r["doc_id"])):
-        total += n
-        if total > size:
-            break
-        kept.add(doc_id)
-    longest = max((n for i, _, n in sizes if i in kept), default=0)
-    found = texts.where(F.col("size") <= longest).drop("size").collect()
-    found = sorted((i, q, bytes(t)) for i, q, t in found if i in kept)
+    # One text of each id, however often it is repeated.
+    one = texts.groupBy("doc_id", "quality").agg(F.min(F.struct(
+        F.xxhash64("text").alias("order"), "text", "size")).alias("row"))
+    sizes = one.select("doc_id", "quality", F.col("row.size").alias("size"),
+                       order.alias("order")).collect()
+    kept = sampled([(r["quality"], r["order"], r["doc_id"], r["size"]) for r in sizes], size)
+    found = one.where(F.col("doc_id").isin(kept)).select("doc_id", "quality", "row.text").collect()
+    found = sorted((i, q, bytes(t)) for i, q, t in found)
     if not found:
         return None
     number = {q: sum(x == q for _, x, _ in found) for q in share}
