@@ -4,7 +4,7 @@ import public_tokenizers
 
 from llm import (
     byte_bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality,
-    secret_scan, url_filter, warc)
+    ranked_search, secret_scan, url_filter, warc)
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -71,3 +71,9 @@ def op1_decontaminate(spark, folder):
 @query(jaccard_join.SQL)
 def op2_jaccard_join(spark, folder):
     return jaccard_join.jaccard_join(table(spark, folder, "documents"), 3, 90, 100)
+
+
+@query(ranked_search.SQL)
+def op12_ranked_search(spark, folder):
+    return ranked_search.search(table(spark, folder, "documents"),
+                                table(spark, folder, "benchmark"))
