@@ -3,8 +3,8 @@
 import public_tokenizers
 
 from llm import (
-    byte_bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality,
-    ranked_search, secret_scan, url_filter, warc)
+    byte_bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, piece_bpe,
+    quality, ranked_search, secret_scan, url_filter, warc)
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -77,3 +77,9 @@ def op2_jaccard_join(spark, folder):
 def op12_ranked_search(spark, folder):
     return ranked_search.search(table(spark, folder, "documents"),
                                 table(spark, folder, "benchmark"))
+
+
+@query()
+def op13_piece_bpe(spark, folder):
+    return piece_bpe.round_trip(table(spark, folder, "documents"),
+                                public_tokenizers.path("piece_bpe_32k.model"))

@@ -257,8 +257,9 @@ def _indexed(size):
                 signs = np.random.default_rng(1).choice(
                     np.array([-1, 1], np.float32), (len(vocabulary), DIMENSIONS))
                 near = np.zeros((len(n), DIMENSIONS), np.float32)
-                for d in range(DIMENSIONS):
-                    near[:, d] = np.bincount(doc, part * signs[place, d], len(n))
+                used, begin = np.unique(doc, return_index=True)
+                if len(used):
+                    near[used] = np.add.reduceat(signs[place] * part[:, None].astype(np.float32), begin)
                 near /= np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-9)
                 order = np.lexsort((doc, place))
                 by_term, docs = place[order], doc[order]
