@@ -201,7 +201,9 @@ class Model:
         ends[hits] = ends[hits + 1]
         at = np.cumsum(gone)[hits] - 1  # places of the new symbols
         symbols, places, ends, pairs = symbols[gone], places[gone], ends[gone], pairs[gone]
-        changed = np.union1d(at, at[at > 0] - 1)
+        near = np.zeros(len(symbols), bool)
+        near[at] = near[at[at > 0] - 1] = True
+        changed = np.flatnonzero(near)
         inner = changed[~ends[changed]]
         pairs[changed] = len(self.pairs) - 1
         pairs[inner] = self.pair(symbols[inner], symbols[inner + 1])
@@ -256,10 +258,12 @@ class Codec:
         for text in texts:
             text = text or ""
             cut.append(model.words.findall(model.prefix + text.replace(" ", SPACE)) if text else [])
-        own = {}
-        for word in set().union(*cut):
-            own[word] = known.found(word)
-        new = [word for word, ids in own.items() if ids is None]
+        own = dict.fromkeys(word for words in cut for word in words)
+        new = []
+        for word in own:
+            ids = own[word] = known.found(word)
+            if ids is None:
+                new.append(word)
         if new:
             ids, bounds = model.merged(new)
             packed = ids.astype("<i4").tobytes()

@@ -3,8 +3,8 @@
 import public_tokenizers
 
 from llm import (
-    byte_bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, piece_bpe,
-    quality, ranked_search, secret_scan, url_filter, warc)
+    byte_bpe, chat_format, decontaminate, exact_dedup, hard_negatives, jaccard_join, license_scan,
+    piece_bpe, quality, ranked_search, secret_scan, url_filter, warc)
 from llm.frames import table
 
 QUERIES, ORACLES = {}, {}
@@ -83,3 +83,8 @@ def op12_ranked_search(spark, folder):
 def op13_piece_bpe(spark, folder):
     return piece_bpe.round_trip(table(spark, folder, "documents"),
                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(hard_negatives.SQL)
+def op11_hard_negatives(spark, folder):
+    return hard_negatives.mine(table(spark, folder, "embeddings"))

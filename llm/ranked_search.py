@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from llm.frames import mapped, numbered, parallelism, written
+from llm.frames import mapped, met, numbered, parallelism, written
 from llm.words import ALNUM, Words, slices, utf8
 
 #: Postings (terms of its documents) and documents of a segment, bytes of text cut at a time.
@@ -116,14 +116,6 @@ def _item_terms(batches):
                 ["block", "item", "item_id", "term"])
 
 
-def _met(left, blocks):
-    """Every row of ``left`` beside every item block, which goes to each share of the rows."""
-    shares = parallelism(left.sparkSession)
-    spread = blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    dealt = left.withColumn("share", F.pmod(F.xxhash64("segment"), F.lit(shares)).cast("int"))
-    return dealt.join(spread, "share").drop("share")
-
-
 def _frequencies(batches):
     """Documents with each term of each item block, summed over the segments of a task."""
     known = {}
@@ -388,7 +380,7 @@ def item_blocks(segments, items):
     terms = written(mapped(numbered(rows, "item"), _item_terms,
                            "block long, item long, item_id long, term long"), "item-terms")
     vocabulary = terms.groupBy("block").agg(F.collect_set("term").alias("vocabulary"))
-    counts = mapped(_met(segments.select("segment", "terms", "df"), vocabulary), _frequencies,
+    counts = mapped(met(segments.select("segment", "terms", "df"), "segment", vocabulary), _frequencies,
                     "block long, term long, df long").groupBy("block", "term").agg(F.sum("df").alias("df"))
     sizes = segments.agg(F.sum("documents").alias("n_documents"), F.sum("words").alias("n_words"))
     known = terms.join(counts, ["block", "term"])
@@ -403,7 +395,7 @@ def item_blocks(segments, items):
 
 def index(segments, blocks, size=BLOCK):
     """The stored posting blocks with their summaries, a row for each segment and item block."""
-    return written(mapped(_met(segments, blocks), _indexed(size), _INDEX), "posting-blocks",
+    return written(mapped(met(segments, "segment", blocks), _indexed(size), _INDEX), "posting-blocks",
                    compression="zstd")
 
 

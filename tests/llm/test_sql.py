@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 def test_query(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     result = QUERIES[name](spark, FOLDER)
     answer = connection.execute(ORACLES[name])
@@ -25,4 +25,4 @@ def test_query(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
