@@ -21,6 +21,8 @@ from llm.frames import mapped, met, written
 SEGMENT, SEGMENT_BYTES, ANCHORS, ANCHOR_BYTES = 4096, 4 << 20, 256, 1 << 20
 #: Bits of an anchor's rounded coordinates.
 PLANES = 8
+#: Times the wanted number of rows that are scored first, by their estimates.
+SEEDS = 8
 #: Vectors become whole numbers by this factor.
 SCALE = 256
 #: Positives of an anchor, negatives of a positive, share of its score that they reach.
@@ -209,15 +211,28 @@ def _met_rows(d, found, names):
     return mapped_rows
 
 
+def _surviving(own, anchor, some, lower, upper, low, high, k):
+    """Rows whose interval reaches the k-th best score that likely rows have in the window.
+
+    Those with the highest estimates within it are scored first.
+    """
+    if len(some) <= SEEDS * k:
+        return some
+    likely = (lower[some] + upper[some]) / 2
+    likely[likely > high] = -np.inf
+    seeds = some[np.argpartition(-likely, SEEDS * k)[:SEEDS * k]]
+    scores = whole_scores(own.values[seeds], anchor)
+    scores = np.sort(scores[(scores >= low) & (scores <= high)])
+    return some[upper[some] >= scores[-k]] if len(scores) >= k else some
+
+
 _POSITIVE = ["block", "anchor", "anchor_id", "positive", "positive_id", "positive_score"]
 
 
 def _positives(d, k):
     def found(own, anchor, key, label, lower, upper, _):
         some = np.flatnonzero((own.labels == label) & (own.rows != key))
-        if len(some) > k:
-            least = np.partition(lower[some], len(some) - k)[len(some) - k]
-            some = some[upper[some] >= least]
+        some = _surviving(own, anchor, some, lower, upper, -np.inf, np.inf, k)
         some, scores = own.best(some, whole_scores(own.values[some], anchor), k)
         for i, score in zip(some.tolist(), scores.tolist()):
             yield int(own.rows[i]), own.id(i), score
@@ -238,9 +253,7 @@ def _negatives(d, k, share):
             if low > high:
                 continue
             some = np.flatnonzero(others & (upper >= low) & (lower <= high))
-            sure = lower[some][(lower[some] >= low) & (upper[some] <= high)]
-            if len(sure) > k:
-                some = some[upper[some] >= np.partition(sure, len(sure) - k)[len(sure) - k]]
+            some = _surviving(own, anchor, some, lower, upper, low, high, k)
             scores = whole_scores(own.values[some], anchor)
             inside = (scores >= low) & (scores <= high)
             some, scores = own.best(some[inside], scores[inside], k)

@@ -90,7 +90,7 @@ def test_blocks_are_skipped_only_by_their_bounds(spark, make_docs, make_items):
     for row in range(stored.num_rows):
         at = {c: stored.column(c)[row] for c in stored.schema.names}
         own = R.Segment(at, R.Items(at["entries"].values))
-        for i in range(2):
+        for i in range(len(own.items.ids)):
             found, used = own.best(i, 10, 0)
             blocks_, bounds = own.bounds(i)
             least = found[-1][0] if len(found) == 10 else 0
