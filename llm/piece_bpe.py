@@ -55,6 +55,38 @@ def _fields(data):
             at += size
 
 
+def _word_pattern(beside):
+    """Cuts a text between characters that no piece has side by side.
+
+    Characters that pieces join, directly or through others, form a class; a word is space
+    signs and a run of one class. If a piece has a space sign after another character, the
+    whole text is one word.
+    """
+    if any(b == SPACE != a for a, b in beside):
+        return re.compile(".+", re.DOTALL)
+    parent = {}
+
+    def root(c):
+        parent.setdefault(c, c)
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    for a, b in beside:
+        if a != SPACE:
+            parent[root(a)] = root(b)
+        elif b != SPACE:
+            root(b)
+    classes = {}
+    for c in parent:
+        classes.setdefault(root(c), []).append(c)
+    runs = sorted((re.escape("".join(sorted(c))) for c in classes.values() if len(c) > 1), key=len)
+    runs = "".join(f"|[{run}]+" for run in reversed(runs))
+    known = re.escape("".join(sorted(parent)) + SPACE)
+    return re.compile(f"{SPACE}*(?:[^{known}]+{runs}|[^{SPACE}])|{SPACE}+", re.DOTALL)
+
+
 class Model:
     """Pieces and pair ranks of a BPE model with byte fallback and no rewriting of characters."""
 
@@ -111,15 +143,7 @@ class Model:
         self.beside = np.array(sorted(
             int(self.symbol[ord(a)]) * int(self.base) + int(self.symbol[ord(b)])
             for a, b in beside), np.int64)
-        inside = {c for p in joined for c in p}
-        lone = "".join(chr(c) for c in range(128) if chr(c) not in inside)
-        lone = re.escape(lone)
-        #: Words: where no piece has a space sign after another character, one begins there.
-        if any(b == SPACE != a for a, b in beside):
-            self.words = re.compile(".+", re.DOTALL)
-        else:
-            lone_run = f"|[{lone}]+" if lone else ""
-            self.words = re.compile(f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+{lone_run}")
+        self.words = _word_pattern(beside)
 
     def pair(self, left, right):
         """Places of pairs of symbols in the tables; the last place where there is none."""
@@ -325,7 +349,7 @@ def _encoded(shared):
     def encode(batches):
         own = codec(shared.value)
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", 4 << 20):
                 packed = own.encode(batch.column("text").to_pylist())
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed])
                 ids = pa.ListArray.from_arrays(
