@@ -54,12 +54,13 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def met(left, key, blocks):
+def met(left, key, blocks, on=()):
     """Every row of ``left``, dealt by its key, beside every row of ``blocks``.
 
-    ``blocks`` are few large rows; they go to each share of the left rows.
+    ``blocks`` are few large rows; they go to each share of the left rows, by a shuffle: all
+    their copies would be a broadcast without a bound. With ``on`` rows also agree in that.
     """
     shares = parallelism(left.sparkSession)
     spread = blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     dealt = left.withColumn("share", F.pmod(F.xxhash64(key), F.lit(shares)).cast("int"))
-    return dealt.join(spread, "share").drop("share")
+    return dealt.join(spread.hint("merge"), ["share", *on]).drop("share")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from llm.frames import mapped, met, numbered, parallelism, written
+from llm.frames import mapped, met, numbered, written
 from llm.words import ALNUM, Words, slices, utf8
 
 #: Postings (terms of its documents) and documents of a segment, bytes of text cut at a time.
@@ -382,13 +382,11 @@ def item_blocks(segments, items):
     vocabulary = terms.groupBy("block").agg(F.collect_set("term").alias("vocabulary"))
     counts = mapped(met(segments.select("segment", "terms", "df"), "segment", vocabulary), _frequencies,
                     "block long, term long, df long").groupBy("block", "term").agg(F.sum("df").alias("df"))
-    sizes = segments.agg(F.sum("documents").alias("n_documents"), F.sum("words").alias("n_words"))
-    known = terms.join(counts, ["block", "term"])
-    # One row of totals: no key is needed to join it.
-    known = known.withColumn("one", F.lit(1)).join(sizes.withColumn("one", F.lit(1)), "one")
-    weight = F.floor(1000 * F.log((2 * F.col("n_documents") + 2) / (2 * F.col("df") + 1)))
-    return written(known.groupBy("block").agg(
-        F.first("n_documents").alias("n_documents"), F.first("n_words").alias("n_words"),
+    documents, words = segments.agg(F.sum("documents"), F.sum("words")).first()
+    documents, words = documents or 0, words or 0
+    weight = F.floor(1000 * F.log(F.lit(2 * documents + 2) / (2 * F.col("df") + 1)))
+    return written(terms.join(counts, ["block", "term"]).groupBy("block").agg(
+        F.lit(documents).cast("long").alias("n_documents"), F.lit(words).cast("long").alias("n_words"),
         F.sort_array(F.collect_list(F.struct("item", "item_id", "term", weight.alias("weight"))))
         .alias("entries")), "item-blocks")
 
@@ -421,12 +419,8 @@ def search(docs, items, k=10, size=BLOCK):
     queries = blocks.select("block", "entries")
 
     def best(part, floors):
-        spread = queries.join(floors, "block", "left")
-        shares = parallelism(part.sparkSession)
-        spread = spread.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-        dealt = part.withColumn("share", F.pmod(F.xxhash64("segment"), F.lit(shares)).cast("int"))
-        met = dealt.join(spread, ["block", "share"]).drop("share")
-        return mapped(met, _searched(k), "item long, item_id long, doc_id long, score long")
+        asked = met(part, "segment", queries.join(floors, "block", "left"), ["block"])
+        return mapped(asked, _searched(k), "item long, item_id long, doc_id long, score long")
 
     owner = queries.select("block", F.explode(F.array_distinct("entries.item")).alias("item"))
     none = "array<struct<item:long,floor:long>>"
