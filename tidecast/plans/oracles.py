@@ -238,6 +238,43 @@ _TRAILING = ", ".join(
     [f"round(avg(value) OVER {_frame(k)}, 6) AS rmean{k}" for k in (5, 10, 20)]
     + [f"round(stddev_samp(value) OVER {_frame(k)}, 6) AS rstd{k}" for k in (5, 10, 20)])
 
+FEATURE_ROWS = f"""f AS (
+  SELECT * FROM (
+    SELECT *, {_LAGS}, {_TRAILING.replace("round(", "(").replace(", 6)", ")")},
+           dayofweek(date) + 1 AS dow, month(date) AS month FROM sp)
+  WHERE lag10 IS NOT NULL AND rstd5 IS NOT NULL)"""
+_NAMES = ["lag1", "lag2", "lag3", "lag5", "lag10", "rmean5", "rmean10", "rmean20", "rstd5",
+          "rstd10", "rstd20", "dow", "month"]
+
+
+def ridge(penalty):
+    """Normal equations of the standardised features, solved one pivot after another."""
+    size = range(len(_NAMES))
+    label = len(_NAMES)
+    names = [*_NAMES, "value"]
+    pairs = ", ".join(f"covar_pop({names[min(i, j)]}, {names[max(i, j)]}) AS c{i}_{j}"
+                      for i in range(label + 1) for j in range(label + 1))
+    means = ", ".join(f"avg({n}) AS m{i}" for i, n in enumerate(names))
+    first = ", ".join(
+        f"c{i}_{j} / sqrt(c{i}_{i} * c{j}_{j})"
+        + (f" + {penalty} / sqrt(c{label}_{label})" if i == j else "") + f" AS a{i}_{j}"
+        for i in size for j in range(label + 1))
+    steps = [f"mo AS MATERIALIZED (SELECT {means}, {pairs} FROM f WHERE split = 'train')",
+             f"e0 AS MATERIALIZED (SELECT {first} FROM mo)"]
+    for k in size:
+        cells = ", ".join(
+            (f"a{k}_{j} / a{k}_{k}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k}")
+            + f" AS a{i}_{j}" for i in size for j in range(k + 1, label + 1))
+        steps.append(f"e{k + 1} AS MATERIALIZED (SELECT {cells} FROM e{k})")
+    terms = " + ".join(f"a{i}_{label} * sqrt(c{label}_{label} / c{i}_{i}) * ({n} - m{i})"
+                       for i, n in enumerate(_NAMES))
+    steps.append(f"""lr_p AS (
+  SELECT series, date, value AS actual, m{label} + {terms} AS predicted,
+         'Linear Regression' AS model, 'one_step' AS horizon_kind
+  FROM f, mo, e{label} WHERE split = 'test')""")
+    return ",\n".join(steps)
+
+
 # the raw text the readers see, derived as the Spark side derives it
 TEXT = source("supplier_bars") + """,
 t AS (
@@ -569,6 +606,8 @@ obs AS (SELECT * FROM sp)""", f"""SELECT
         round(value - lo, 6) AS lower
         FROM (SELECT 'acf' AS kind, * FROM acf UNION ALL SELECT 'pacf', * FROM pacf)""",
         recursive=True),
+    "lr_forecast": _with(source("supplier_bars"), SPLIT, FEATURE_ROWS, ridge(0.05),
+                         "SELECT * REPLACE (round(predicted, 2) AS predicted) FROM lr_p"),
     "unfitted_series": _with(source("customer_orders"), """SELECT series, count(*) AS total
         FROM s GROUP BY series HAVING floor(count(*) * CAST(0.8 AS DOUBLE)) < 1"""),
 }

@@ -528,7 +528,7 @@ def _pooled(name, spark, folder):
 
 @query
 def lr_forecast(spark, folder):
-    return _pooled("Linear Regression", spark, folder)
+    return rounded(_pooled("Linear Regression", spark, folder), 2, "predicted")
 
 
 @query
