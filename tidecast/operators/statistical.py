@@ -5,6 +5,8 @@ vectorised UDF turns the array into a fit; scoring and everything after it is Sp
 again. A failed fit repeats the last train value, and says so.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -31,25 +33,38 @@ ARIMA_FIT = _struct(ahead=T.ArrayType(_DOUBLE), p=_INT, d=_INT, q=_INT,
 ADF_TEST = _struct(adf_stat=_DOUBLE, adf_p=_DOUBLE, adf_lags=_INT)
 
 
-# Series fitted side by side: enough to fill the vector operations of a time step.
+# Series fitted side by side: enough to fill the vector operations of a time step. An order
+# search has few candidates of each series open at a time, so it takes more of them, and
+# not more values than its slopes leave room for.
 SIDE_BY_SIDE = 16
+SEARCHED_TOGETHER, SEARCHED_VALUES = 128, 64_000
+
 
+def _in_groups(train, fit, most=SIDE_BY_SIDE, values=math.inf):
+    """``fit(rows)`` on groups of series of like length; a result or exception per row.
 
-def _in_groups(train, fit):
-    """``fit(rows)`` on groups of series of like length; a result or exception per row."""
+    A group has ``most`` series and ``values`` values at most, one series at least. One that
+    fails is halved, so that only the series at fault has no fit.
+    """
     def together(rows):
         try:
             return fit(rows)
         except (ValueError, ArithmeticError, np.linalg.LinAlgError) as error:
             # one series must not cost its neighbours their fit
-            return ([error] if len(rows) == 1 else
-                    [found for i in rows for found in together([i])])
+            half = len(rows) // 2
+            return [error] if half == 0 else together(rows[:half]) + together(rows[half:])
 
     by_length = train.str.len().sort_values(kind="stable").index.tolist()
     found = {}
-    for first in range(0, len(by_length), SIDE_BY_SIDE):
-        rows = by_length[first:first + SIDE_BY_SIDE]
-        found.update(zip(rows, together(rows)))
+    group, size = [], 0
+    for i in by_length:
+        if group and (len(group) == most or size + len(train[i]) > values):
+            found.update(zip(group, together(group)))
+            group, size = [], 0
+        group.append(i)
+        size += len(train[i])
+    if group:
+        found.update(zip(group, together(group)))
     return [found[i] for i in train.index]
 
 
@@ -86,7 +101,8 @@ def _arima(train: pd.Series, horizon: pd.Series) -> pd.DataFrame:
         return ahead.tolist(), p, d, q, constant, aic, converged, None
 
     return pd.DataFrame([one(y, h, f) for y, h, f in
-                         zip(train, horizon, _in_groups(train, fit))])
+                         zip(train, horizon, _in_groups(
+                             train, fit, SEARCHED_TOGETHER, SEARCHED_VALUES))])
 
 
 @F.pandas_udf(ADF_TEST)
