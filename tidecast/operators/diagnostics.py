@@ -42,7 +42,7 @@ def describe(series_df):
     )
 
 
-def _dot(a, b):
+def dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
                        lambda acc, x: acc + x)
 
@@ -79,7 +79,7 @@ def _difference_correlations(series_df, lags, fraction, rows_per_lag):
         most = F.least(most, F.floor((n + 1) / rows_per_lag).cast("int"))
     return packed.select("series", "n", F.transform(
         F.sequence(F.lit(0), most),
-        lambda k: F.try_divide(_dot(F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k)),
+        lambda k: F.try_divide(dot(F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k)),
                                F.col("_c0"))).alias("r"))
 
 
@@ -112,8 +112,8 @@ def _pacf_values():
     def step(state, k):
         phi = state["phi"]
         known = F.slice(r, F.lit(2), k - 1)               # r_1 .. r_(k-1)
-        last = F.try_divide(F.get(r, k) - _dot(phi, F.reverse(known)),
-                            F.lit(1.0) - _dot(phi, known))
+        last = F.try_divide(F.get(r, k) - dot(phi, F.reverse(known)),
+                            F.lit(1.0) - dot(phi, known))
         # bound to a variable, or every element would work it out again
         return F.get(F.transform(F.array(last), lambda v: F.struct(
             F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - v * y),
@@ -300,7 +300,7 @@ def kpss(variants):
         """Weighted sum of the first few autocovariances, twice."""
         return F.when(enough, F.aggregate(
             F.sequence(F.lit(1), F.greatest(first, F.lit(1))), F.lit(0.0),
-            lambda acc, k: acc + weight(k) * 2 / n * _dot(
+            lambda acc, k: acc + weight(k) * 2 / n * dot(
                 F.slice(z, k + 1, n - k), F.slice(z, F.lit(1), n - k))))
 
     sums = arrays.select("*", near(lambda k: F.lit(1.0)).alias("_g"),

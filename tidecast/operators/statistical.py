@@ -1,4 +1,4 @@
-"""Per-series fits: Holt with searched weights, ARIMA with order search, stationarity.
+"""Per-series fits: Holt with searched weights, ARIMA with order search; stationarity.
 
 Spark orders and splits the series and packs each train part into one array; a
 vectorised UDF turns the array into a fit; scoring and everything after it is Spark
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions import fits
+from tidecast.operators import unit_root
 from tidecast.operators.baselines import MULTI_STEP, as_predictions
 from tidecast.operators.diagnostics import kpss, level_and_difference, verdict
 from tidecast.operators.series import SPLIT, packed_split, spread, with_split
@@ -30,7 +31,6 @@ HOLT_FIT = _struct(level=_DOUBLE, trend=_DOUBLE, alpha=_DOUBLE, beta=_DOUBLE, ss
 ARIMA_FIT = _struct(ahead=T.ArrayType(_DOUBLE), p=_INT, d=_INT, q=_INT,
                     constant=T.BooleanType(), aic=_DOUBLE,
                     converged=T.BooleanType(), fallback=_TEXT)
-ADF_TEST = _struct(adf_stat=_DOUBLE, adf_p=_DOUBLE, adf_lags=_INT)
 
 
 # Series fitted side by side: enough to fill the vector operations of a time step. An order
@@ -105,13 +105,6 @@ def _arima(train: pd.Series, horizon: pd.Series) -> pd.DataFrame:
                              train, fit, SEARCHED_TOGETHER, SEARCHED_VALUES))])
 
 
-@F.pandas_udf(ADF_TEST)
-def _adf(values: pd.Series) -> pd.DataFrame:
-    def one(x):
-        return fits.adf_test(x) if len(x) >= 4 else (None, None, None)
-    return pd.DataFrame([one(x) for x in values])
-
-
 def _fit_input(series_df, fraction):
     """Packed series with at least one train row; ``unfitted`` names the others."""
     reach_workers(series_df.sparkSession)
@@ -162,9 +155,7 @@ def arima_orders(fitted):
 
 def stationarity_report(series_df, fraction=SPLIT):
     """ADF and KPSS on the train part and on its first difference, with verdicts."""
-    reach_workers(series_df.sparkSession)
-    variants = level_and_difference(with_split(spread(series_df), fraction))
-    tested = kpss(variants).select("*", _adf("x").alias("_adf")).select("*", "_adf.*")
+    tested = unit_root.adf(kpss(level_and_difference(with_split(spread(series_df), fraction))))
     adf_p, kpss_p = F.col("adf_p"), F.col("kpss_p")
     return tested.select(
         "series", "variant", "n", "adf_stat", F.round(adf_p, 6).alias("adf_p"), "adf_lags",

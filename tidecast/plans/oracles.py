@@ -275,6 +275,37 @@ def ridge(penalty):
     return ",\n".join(steps)
 
 
+ADF = """x AS (
+  SELECT series, 'level' AS variant, rn AS i, value AS v FROM sp WHERE split = 'train'
+  UNION ALL
+  SELECT series, 'difference', rn - 1, diff FROM (
+    SELECT series, rn, value - lag(value) OVER (PARTITION BY series ORDER BY rn) AS diff
+    FROM sp WHERE split = 'train') WHERE rn > 1),
+y AS (SELECT series, variant, i, v - lag(v) OVER w AS d, lag(v) OVER w AS l
+      FROM x WINDOW w AS (PARTITION BY series, variant ORDER BY i)),
+b AS (SELECT *, lag(d, 1) OVER w AS d1, lag(d, 2) OVER w AS d2, lag(d, 3) OVER w AS d3
+      FROM y WINDOW w AS (PARTITION BY series, variant ORDER BY i))"""
+
+
+def adf_at(lags):
+    """t-ratio of l in the regression of d on 1, l and the lagged steps, one pivot each."""
+    names = [f"d{k}" for k in range(1, lags + 1)] + ["l", "d"]
+    size = range(len(names))
+    cells = ", ".join(f"covar_pop({names[i]}, {names[j]}) AS a{i}_{j}" for i in size for j in size)
+    steps = [f"k{lags}_0 AS (SELECT series, variant, count(*) AS n, {cells} FROM b "
+             f"WHERE d{lags or ''} IS NOT NULL GROUP BY series, variant)"]
+    for k in range(lags):
+        cells = ", ".join(f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}"
+                          for i in range(k + 1, len(names)) for j in range(k + 1, len(names)))
+        steps.append(f"k{lags}_{k + 1} AS (SELECT series, variant, n, {cells} FROM k{lags}_{k})")
+    y, t = len(names) - 2, len(names) - 1
+    ratio = (f"a{y}_{t} / a{y}_{y} / sqrt((a{t}_{t} - a{y}_{t} * a{y}_{t} / a{y}_{y})"
+             f" / (n - {lags + 2}) / a{y}_{y})")
+    steps.append(f"t{lags} AS (SELECT series, variant, {lags} AS lags, {ratio} AS stat "
+                 f"FROM k{lags}_{lags} WHERE n > {lags + 2})")
+    return ",\n".join(steps)
+
+
 # the raw text the readers see, derived as the Spark side derives it
 TEXT = source("supplier_bars") + """,
 t AS (
@@ -608,6 +639,10 @@ obs AS (SELECT * FROM sp)""", f"""SELECT
         recursive=True),
     "lr_forecast": _with(source("supplier_bars"), SPLIT, FEATURE_ROWS, ridge(0.05),
                          "SELECT * REPLACE (round(predicted, 2) AS predicted) FROM lr_p"),
+    "adf_fixed_lags": _with(source("supplier_bars"), SPLIT, ADF, *map(adf_at, range(4)),
+                            " UNION ALL ".join(
+        f"SELECT series, variant, {k} AS lags, round(stat, 6) AS adf_stat FROM t{k}"
+        for k in range(4))),
     "unfitted_series": _with(source("customer_orders"), """SELECT series, count(*) AS total
         FROM s GROUP BY series HAVING floor(count(*) * CAST(0.8 AS DOUBLE)) < 1"""),
 }

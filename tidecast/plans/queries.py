@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidecast.functions.text import (
     clean_number, iso_text, mark_missing, parse_day, parse_iso, year_part)
 from tidecast.operators import (
-    baselines, diagnostics, evaluate, features, pooled, reports, series, statistical)
+    baselines, diagnostics, evaluate, features, pooled, reports, series, statistical, unit_root)
 from tidecast.plans.forecast_run import metrics_of_run, run_and_save
 from tidecast.plans.quick_analysis import diagnostic_tables, quick_forecast, quick_metrics
 from tidecast.session import scratch_path
@@ -569,6 +569,16 @@ def stationarity_report(spark, folder):
     return statistical.stationarity_report(tables.supplier_bars(spark, folder))
 
 
+@query
+def adf_fixed_lags(spark, folder):
+    """t-ratios of the level and the first difference with up to three lagged steps."""
+    variants = diagnostics.level_and_difference(
+        series.with_split(tables.supplier_bars(spark, folder)))
+    arrays = variants.groupBy("series", "variant").agg(F.transform(F.sort_array(
+        F.collect_list(F.struct("rn", "x"))), lambda r: r["x"]).alias("x"))
+    return rounded(unit_root.adf_at(arrays, [0, 1, 2, 3]).drop("x"), 6, "adf_stat")
+
+
 @query
 def five_model_run(spark, folder):
     return metrics_of_run(tables.bars(spark, folder))
