@@ -639,6 +639,10 @@ obs AS (SELECT * FROM sp)""", f"""SELECT
         recursive=True),
     "lr_forecast": _with(source("supplier_bars"), SPLIT, FEATURE_ROWS, ridge(0.05),
                          "SELECT * REPLACE (round(predicted, 2) AS predicted) FROM lr_p"),
+    "forest_leaves": _with(source("bars"), SPLIT, FEATURE_ROWS, """SELECT
+        CAST(tree AS INTEGER) AS tree, count(*) AS n_rows, round(sum(value), 0) AS total,
+        CAST(0 AS BIGINT) AS n_wrong
+        FROM f CROSS JOIN generate_series(0, 99) g(tree) WHERE split = 'train' GROUP BY tree"""),
     "adf_fixed_lags": _with(source("supplier_bars"), SPLIT, ADF, *map(adf_at, range(4)),
                             " UNION ALL ".join(
         f"SELECT series, variant, {k} AS lags, round(stat, 6) AS adf_stat FROM t{k}"

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidecast.functions.text import (
     clean_number, iso_text, mark_missing, parse_day, parse_iso, year_part)
 from tidecast.operators import (
-    baselines, diagnostics, evaluate, features, pooled, reports, series, statistical, unit_root)
+    baselines, diagnostics, evaluate, features, pooled, reports, series, statistical, trees,
+    unit_root)
 from tidecast.plans.forecast_run import metrics_of_run, run_and_save
 from tidecast.plans.quick_analysis import diagnostic_tables, quick_forecast, quick_metrics
 from tidecast.session import scratch_path
@@ -541,6 +542,32 @@ def gbt_forecast(spark, folder):
     return _pooled("GBT", spark, folder)
 
 
+@query
+def forest_leaves(spark, folder):
+    """The forest's node table, checked: train rows walk it down to the model's own answers.
+
+    Rows and labels that reach a leaf of each tree, and rows for which the mean of the
+    leaves differs from the fitted model.
+    """
+    rows = pooled.training_rows(tables.bars(spark, folder))
+    fitted = pooled.fit_pooled(rows, "Random Forest")
+    forest = fitted.stages[-1]
+    train = rows.where("split = 'train'")
+    answers = scratch_path(spark, "answers")
+    fitted.transform(train).select("series", "date", "value", "features", "predicted") \
+        .write.parquet(answers)
+    own = spark.read.parquet(answers)
+    routed = trees.leaves(own, trees.node_table(forest, spark), forest.getNumTrees,
+                          forest.getMaxDepth())
+    mean = routed.groupBy("series", "date", "predicted").agg(F.avg("prediction").alias("mean"))
+    wrong = mean.where(F.abs(F.col("mean") - F.col("predicted"))
+                       > 1e-9 * F.abs("predicted")).count()
+    leaf = trees.leaf_statistics(routed)
+    return leaf.groupBy("tree").agg(
+        F.sum("n").alias("n_rows"), F.round(F.sum(F.col("n") * F.col("mean")), 0).alias("total"),
+        F.lit(wrong).cast("long").alias("n_wrong"))
+
+
 @query
 def holt_forecast(spark, folder):
     return statistical.holt_predictions(
