@@ -275,6 +275,12 @@ def ridge(penalty):
     return ",\n".join(steps)
 
 
+_DESCRIBE = """SELECT series, count(*) AS count,
+        round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+        round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25,
+        round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6)
+        AS p75, round(max(value), 6) AS max FROM s GROUP BY series"""
+
 ADF = """x AS (
   SELECT series, 'level' AS variant, rn AS i, value AS v FROM sp WHERE split = 'train'
   UNION ALL
@@ -482,11 +488,8 @@ c AS (SELECT page_id, row_no, regexp_extract_all(body, '(?is)<li\\b[^>]*>(.*?)</
     "bday_fill": _with(source("order_days"), BUSINESS_DAYS, "SELECT * FROM filled"),
     "bday_fill_sparse": _with(source("customer_orders"), BUSINESS_DAYS,
                               "SELECT * FROM filled"),
-    "describe_series": _with(source("supplier_bars"), """SELECT series, count(*) AS count,
-        round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
-        round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25,
-        round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6)
-        AS p75, round(max(value), 6) AS max FROM s GROUP BY series"""),
+    "describe_series": _with(source("supplier_bars"), _DESCRIBE),
+    "quick_describe": _with(QUICK, _DESCRIBE),
     "acf_band": _with(source("supplier_bars"), SPLIT, CORRELATIONS, """SELECT series, lag,
         round(value, 6) AS value, round(lo, 6) AS lo, round(hi, 6) AS hi FROM acf"""),
     "pacf_band": _with(source("supplier_bars"), SPLIT, CORRELATIONS, PARTIALS, """SELECT
