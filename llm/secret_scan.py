@@ -27,7 +27,8 @@ LEAST = {"assign": 12, "access": 18}
 IDENTIFIER = re.compile(
     r"""(?:access_?key_?id|client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?"""
     r"""[A-Za-z0-9@._-]{4,}""", re.ASCII | re.IGNORECASE)
-ENDPOINT = re.compile(r"""[A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+""")
+SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+ADDRESS = re.compile(r"""[^\s"'<>]+""")
 OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 PARAGRAPH = re.compile(r"\n[\x20\t]*\n")
 
@@ -36,6 +37,27 @@ KINDS = ["assign", "access", "hex", "identifier", "secret", "endpoint"]
 REACH = 200
 
 
+def endpoints(text):
+    """Spans of ``[A-Za-z][A-Za-z0-9+.-]*://`` and what follows up to a space, quote or bracket.
+
+    Found from ``://`` to the left, so that a long run of letters is read once and not again
+    from each of its letters.
+    """
+    spans, end, at = [], 0, text.find("://")
+    while at >= 0:
+        start = at
+        while start > end and text[start - 1] in SCHEME:
+            start -= 1
+        while start < at and not text[start].isalpha():
+            start += 1
+        rest = ADDRESS.match(text, at + 3) if start < at else None
+        if rest:
+            end = rest.end()
+            spans.append((start, end))
+        at = text.find("://", end if rest else at + 1)
+    return spans
+
+
 def base_spans(text):
     """{kind: [(start, end)]} of the base patterns, in code points."""
     found = {"assign": [], "access": [], "hex": []}
@@ -91,7 +113,7 @@ def linked_parts(text, base, reach=REACH):
     """Weak candidates with complements in their scope, and the links between parts."""
     weak = {"identifier": [], "secret": [], "endpoint": []}
     if "://" in text:
-        weak["endpoint"] = [m.span() for m in ENDPOINT.finditer(text)]
+        weak["endpoint"] = endpoints(text)
     if ":" in text or "=" in text:
         weak["identifier"] = [m.span() for m in IDENTIFIER.finditer(text)]
     certain = _merged(base["assign"], base["hex"])
