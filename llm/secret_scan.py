@@ -37,7 +37,7 @@ KINDS = ["assign", "access", "hex", "identifier", "secret", "endpoint"]
 REACH = 200
 
 
-def endpoints(text):
+def addresses(text):
     """Spans of ``[A-Za-z][A-Za-z0-9+.-]*://`` and what follows up to a space, quote or bracket.
 
     Found from ``://`` to the left, so that a long run of letters is read once and not again
@@ -113,7 +113,7 @@ def linked_parts(text, base, reach=REACH):
     """Weak candidates with complements in their scope, and the links between parts."""
     weak = {"identifier": [], "secret": [], "endpoint": []}
     if "://" in text:
-        weak["endpoint"] = endpoints(text)
+        weak["endpoint"] = addresses(text)
     if ":" in text or "=" in text:
         weak["identifier"] = [m.span() for m in IDENTIFIER.finditer(text)]
     certain = _merged(base["assign"], base["hex"])
