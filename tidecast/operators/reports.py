@@ -41,6 +41,29 @@ def metric_matrix(metric_df, metric, models):
             .select("series", *[F.col(f"`{m}`") for m in models]))
 
 
+def metric_matrix_ranked(metric_df):
+    """(series, models, mae, rmse, mape, r2): every series' cells in leaderboard order.
+
+    Models are ranked within the plan: ``models`` holds their names, lowest mean RMSE first,
+    and each metric is an array with one cell per name, null where a series lacks the model.
+    Repeated rows of a model count by their mean, as in ``metric_matrix``.
+    """
+    ranked = leaderboard(metric_df).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("rmse", "model"))), lambda m: m["model"])).scalar()
+    gathered = metric_df.groupBy("series").agg(
+        F.collect_list(F.struct("model", *METRICS)).alias("_rows")).withColumn("models", ranked)
+
+    def cells(metric):
+        def mean(model):
+            values = F.transform(F.filter(
+                "_rows", lambda r: (r["model"] == model) & r[metric].isNotNull()),
+                lambda r: r[metric])
+            total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+            return F.when(F.size(values) > 0, total / F.size(values))
+        return F.transform("models", mean)
+    return gathered.select("series", "models", *[cells(m).alias(m) for m in METRICS])
+
+
 def metric_grid(metric_df, models):
     """Every series with every model, in the given order, gaps null.
 

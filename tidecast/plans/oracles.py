@@ -34,7 +34,7 @@ _SOURCES = {
     "bars": (_LINES, "l_returnflag"), "supplier_bars": (_LINES, "l_suppkey"),
     "quantity_days": (_LINES, "l_returnflag", "l_quantity"),
     "order_days": (_ORDERS, "o_orderpriority"), "customer_orders": (_ORDERS, "o_custkey"),
-    "event_days": (_EVENTS, "user_id"),
+    "event_days": (_EVENTS, "user_id"), "order_lines": (_LINES, "l_orderkey"),
 }
 
 
@@ -424,6 +424,12 @@ ORACLES = {
     "skip_landed": _with(UNITS, """SELECT series, year_from, year_to FROM u
         WHERE series NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier
                              WHERE s_acctbal >= 0)"""),
+    "resume_after_failure": _with(source("supplier_bars"), """SELECT series,
+        CASE WHEN s_acctbal >= 0 THEN 'first' ELSE 'second' END AS batch, count(*) AS n_rows,
+        count(*) AS n_found, round(sum(value), 2) AS total
+        FROM s JOIN supplier ON CAST(s_suppkey AS VARCHAR) = series GROUP BY ALL"""),
+    "upload_load": _with(TEXT, """SELECT "Ticker" AS series, d AS date, value FROM t
+        WHERE day(d) <> 13"""),
     "file_keys": _with(UNITS, """SELECT series,
         series || '_' || year_from || '_' || year_to AS file_key FROM u"""),
     "ingest_status": _with(LENGTHS, "SELECT * FROM st"),
@@ -511,6 +517,10 @@ c AS (SELECT page_id, row_no, regexp_extract_all(body, '(?is)<li\\b[^>]*>(.*?)</
         source("customer_orders"), BUSINESS_DAYS, _GRID_TRAIN,
         """SELECT series, count(*) AS train_days, 'fewer than two periods' AS error
         FROM gt GROUP BY series HAVING count(*) < 10"""),
+    "undecomposable_short": _with(
+        source("order_lines"), BUSINESS_DAYS, _GRID_TRAIN,
+        """SELECT series, count(*) AS train_days, 'fewer than two periods' AS error
+        FROM gt GROUP BY series HAVING count(*) < 10"""),
     "kpss_statistic": _with(source("supplier_bars"), SPLIT, """z AS (
   SELECT series, rn, z, sum(z) OVER (PARTITION BY series ORDER BY rn) AS cs FROM (
     SELECT series, rn, value - avg(value) OVER (PARTITION BY series) AS z
@@ -592,6 +602,22 @@ obs AS (SELECT * FROM sp)""", f"""SELECT
     "overall_best_model": _from_metrics("supplier_bars", LEADERBOARD, """SELECT model, rmse
         FROM lb ORDER BY rmse, model LIMIT 1"""),
     **{f"metric_matrix_{metric}": _matrix(metric) for metric in METRICS},
+    "metric_matrix_ranked": _from_metrics("supplier_bars", LEADERBOARD, """SELECT k.series,
+        list(lb.model ORDER BY lb.rmse, lb.model) AS models,
+        list(m.mae ORDER BY lb.rmse, lb.model) AS mae,
+        list(m.rmse ORDER BY lb.rmse, lb.model) AS rmse,
+        list(m.mape ORDER BY lb.rmse, lb.model) AS mape,
+        list(m.r2 ORDER BY lb.rmse, lb.model) AS r2
+        FROM (SELECT DISTINCT series FROM m) k CROSS JOIN lb
+        LEFT JOIN m ON m.series = k.series AND m.model = lb.model GROUP BY k.series"""),
+    "predictions_read_back": _with(predictions("supplier_bars"), """SELECT series, date, actual,
+        round(predicted, 4) AS predicted, model FROM p""", recursive=True),
+    "prediction_file_order": _with(predictions("supplier_bars"), """SELECT model,
+        count(*) AS n_rows, arg_min(series, (series, date)) AS first_series,
+        arg_min(date, (series, date)) AS first_date, arg_max(series, (series, date)) AS last_series,
+        arg_max(date, (series, date)) AS last_date, CAST(0 AS BIGINT) AS n_breaks
+        FROM p GROUP BY model""", recursive=True),
+    "metrics_read_back": _from_metrics("supplier_bars", "SELECT * FROM m"),
     "metric_grid": _from_metrics("supplier_bars", f"""SELECT k.series,
         CAST(g.position AS INTEGER) AS position, g.model, m.mae, m.rmse, m.mape, m.r2
         FROM (SELECT DISTINCT series FROM m) k

@@ -14,7 +14,7 @@ from tidecast.operators import (
 from tidecast.plans.forecast_run import metrics_of_run, run_and_save
 from tidecast.plans.quick_analysis import diagnostic_tables, quick_forecast, quick_metrics
 from tidecast.session import scratch_path
-from tidecast.sources import csv_scan, ingest, pages, tables
+from tidecast.sources import csv_scan, ingest, landing, pages, sinks, tables
 from tidecast.sources.schema import MIN_ROWS, RAW_COLUMNS
 
 QUERIES = {}
@@ -187,6 +187,34 @@ def skip_landed(spark, folder):
     return ingest.not_yet_landed(units, landed)
 
 
+@query
+def resume_after_failure(spark, folder):
+    """Rows of each unit by the batch that landed it, after a load was killed and run again.
+
+    The first batch lands the suppliers with a balance. The second is killed once its records
+    are written, so that they stand there without a commit, and is then run twice.
+    """
+    rows = tables.supplier_bars(spark, folder)
+    first = tables.read_table(spark, folder, "supplier").filter("s_acctbal >= 0").select(
+        F.col("s_suppkey").cast("string").alias("series"))
+    path = scratch_path(spark, "landing")
+    landing.land(rows.join(first, "series", "left_semi"), path, "first")
+    landing.write_records(rows, path, "second")
+    landing.land(rows, path, "second")
+    units = landing.land(rows, path, "second")
+    found = landing.landed_records(spark, path, rows.schema).groupBy("series", "batch").agg(
+        F.count(F.lit(1)).alias("n_found"), F.round(F.sum("value"), 2).alias("total"))
+    return units.join(found, ["series", "batch"], "full")
+
+
+@query
+def upload_load(spark, folder):
+    """Files from elsewhere: days without leading zeros, some with dashes, no known layout."""
+    text = tables.formatted_records(spark, folder)
+    return csv_scan.upload_to_series(text.select(
+        "Ticker", F.col("Loose_date").alias("Date"), "Close_price"))
+
+
 @query
 def file_keys(spark, folder):
     return _units(spark, folder).select(
@@ -365,6 +393,12 @@ def undecomposable(spark, folder):
     return diagnostics.undecomposable(tables.customer_orders(spark, folder))
 
 
+@query
+def undecomposable_short(spark, folder):
+    """Orders: many are shipped within two weeks."""
+    return diagnostics.undecomposable(tables.order_lines(spark, folder))
+
+
 @query
 def no_correlogram(spark, folder):
     return diagnostics.no_correlogram(tables.customer_orders(spark, folder))
@@ -513,6 +547,45 @@ def series_metric_table(spark, folder):
     return reports.series_metric_table(supplier_metrics(spark, folder))
 
 
+@query
+def metric_matrix_ranked(spark, folder):
+    return reports.metric_matrix_ranked(supplier_metrics(spark, folder))
+
+
+def _saved_predictions(spark, folder):
+    path = scratch_path(spark, "results")
+    sinks.write_predictions(baseline_predictions(tables.supplier_bars(spark, folder)), path)
+    return path
+
+
+@query
+def predictions_read_back(spark, folder):
+    """The CSV result file of the baselines, as a reader finds it."""
+    path = _saved_predictions(spark, folder)
+    return rounded(sinks.read_predictions_csv(spark, f"{path}/predictions.csv"), 4, "predicted")
+
+
+@query
+def prediction_file_order(spark, folder):
+    """Rows and breaks of order by model over the part files of the CSV result."""
+    path = _saved_predictions(spark, folder)
+    parts = sinks.order_certificate(spark, f"{path}/predictions.csv")
+    return parts.groupBy("model").agg(
+        F.sum("n_rows").alias("n_rows"), F.min_by("first", "file").alias("first"),
+        F.max_by("last", "file").alias("last"), F.sum("n_breaks").alias("n_breaks")).select(
+        "model", "n_rows", F.col("first.series").alias("first_series"),
+        F.col("first.date").alias("first_date"), F.col("last.series").alias("last_series"),
+        F.col("last.date").alias("last_date"), "n_breaks")
+
+
+@query
+def metrics_read_back(spark, folder):
+    """The metrics file of the baselines, computed from the saved predictions."""
+    path = _saved_predictions(spark, folder)
+    sinks.write_metrics(evaluate.evaluate(sinks.read_predictions(spark, path)), path)
+    return sinks.read_metrics(spark, path)
+
+
 # --- models without a SQL counterpart ---
 
 @query

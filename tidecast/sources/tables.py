@@ -39,6 +39,11 @@ def supplier_bars(spark, folder):
     return line_items_by(spark, folder, "l_suppkey")
 
 
+def order_lines(spark, folder):
+    """Very short series: the shipments of an order."""
+    return line_items_by(spark, folder, "l_orderkey")
+
+
 def _orders_by(spark, folder, key):
     orders = read_table(spark, folder, "orders")
     return to_series(orders, F.col(key).cast("string"), F.to_date("o_orderdate"),
