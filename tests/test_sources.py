@@ -1,3 +1,4 @@
+import bz2
 import datetime as dt
 import gzip
 import itertools
@@ -96,6 +97,48 @@ def test_a_compressed_file_cut_off_is_left_out_as_a_whole(spark, folder):
     assert broken == [("unreadable", "not readable to its end")] * 2
 
 
+def test_many_torn_files_are_found_in_one_pass(spark, folder, monkeypatch):
+    """Each status is written once, whatever number of files is broken."""
+    whole = gzip.compress(f"{HEADER}\n{record(1, '04/01/2026', 'Z', '5')}\n".encode() * 200)
+    for i in range(20):
+        (folder / f"cut{i}.csv.gz").write_bytes(whole[:-1 - i])
+    two = gzip.compress(f"{HEADER}\n".encode()) + gzip.compress(
+        (record(1, "04/01/2026", "TWO", "5") + "\n").encode())
+    (folder / "two.csv.gz").write_bytes(two)
+    (folder / "cut.csv.bz2").write_bytes(bz2.compress(whole * 3)[:-4])
+    (folder / "ok.csv.bz2").write_bytes(
+        bz2.compress(f"{HEADER}\n{record(1, '04/01/2026', 'BZ', '5')}\n".encode()))
+    writes = []
+    inner = csv_scan._until_whole
+    monkeypatch.setattr(csv_scan, "_until_whole", lambda spark, location, write: inner(
+        spark, location, lambda torn: (writes.append(len(torn)), write(torn))))
+    raw = csv_scan.scan_files(spark, str(folder), "*.csv*")
+    assert writes == [21]
+    assert dict(raw.groupBy("Ticker").count().collect()) == {"AAA": 2, "BBB": 1, "TWO": 1, "BZ": 1}
+
+
+def test_repeated_names_are_numbered(spark, tmp_path):
+    write(tmp_path, "a.csv", "Ticker,Close,Close,Close_2,Close", "A,1,2,3,4")
+    write(tmp_path, "b.csv", "Close,Ticker", "5,B")
+    raw = csv_scan.scan_files(spark, str(tmp_path))
+    rows = {r.Ticker: r.asDict() for r in raw.collect()}
+    assert rows["A"] == {"Ticker": "A", "Close": "1", "Close_3": "2", "Close_2": "3", "Close_4": "4"}
+    assert rows["B"] == {"Ticker": "B", "Close": "5", "Close_3": None, "Close_2": None,
+                         "Close_4": None}
+
+
+def test_rows_of_every_piece_meet_the_header(spark, folder, monkeypatch):
+    monkeypatch.setattr(csv_scan, "PIECE", 1000)
+    write(folder, "long.csv", HEADER, *[record(i, "04/01/2026", "LONG", i) for i in range(5000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = csv_scan.scan_files(spark, str(folder))
+        assert raw.where("Ticker = 'LONG'").agg(F.sum("Close_price"), F.count("*")).first() == (
+            4999 * 2500, 5000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_wide_header_and_many_headers(spark, tmp_path):
     names = [f"column_{i:03d}_{'x' * 400}" for i in range(180)]
     assert len(",".join(names)) > 65536

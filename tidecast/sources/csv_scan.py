@@ -1,7 +1,10 @@
 """Reading directories of raw daily CSV files into the canonical series."""
 
+import bz2
 import re
+import zlib
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidecast.functions.text import clean_number, parse_day, parse_day_lenient
 from tidecast.operators.series import to_series
+from tidecast.session import reach_workers, scratch_path
 from tidecast.sources.schema import (
     FORMATTED_COLUMNS, PLAIN_NUMERIC_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TARGET)
 
@@ -24,6 +28,10 @@ def read_raw(spark, folder):
 
 #: Names of files that Spark's readers decompress.
 COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst|zstd)$"
+#: Those whose end is looked for in one pass, up to this size.
+PROBED, PROBED_BYTES = r"\.(gz|bz2|deflate)$", 256 << 20
+#: A file's rows meet its header by pieces of this size.
+PIECE = 128 << 20
 
 
 def _but(frame, left_out):
@@ -31,27 +39,77 @@ def _but(frame, left_out):
     return frame.where(~F.col("_metadata.file_path").isin(left_out)) if left_out else frame
 
 
-def _torn(spark, location):
-    """Paths of the compressed files whose whole read doesn't reach their end.
-
-    One pass reads all compressed files; each broken one is found by the error it raises and
-    costs one pass more.
+def _member_end(member, content, at):
+    """Where a compressed member ends, or None where the content ends first."""
+    bounded = 1 << 22
+    while not member.eof:
+        if at == len(content):
+            return None
+        more = content[at:at + (1 << 16)]
+        at += len(more)
+        if isinstance(member, bz2.BZ2Decompressor):
+            member.decompress(more, bounded)
+            while not member.eof and not member.needs_input:
+                member.decompress(b"", bounded)
+        else:
+            member.decompress(more, bounded)
+            while not member.eof and member.unconsumed_tail:
+                member.decompress(member.unconsumed_tail, bounded)
+    return at - len(member.unused_data)
+
+
+def _reaches_end(name, content):
+    """Whether every member of a compressed file can be read to its end, little kept at a time."""
+    at = 0
+    try:
+        while at is not None and at < len(content):
+            member = bz2.BZ2Decompressor() if name.endswith(".bz2") else zlib.decompressobj(
+                31 if name.endswith(".gz") else 15)
+            at = _member_end(member, content, at)
+    except (OSError, EOFError, zlib.error):
+        return False
+    return at is not None
+
+
+def _ends(batches):
+    for batch in batches:
+        names = batch.column("file_path").to_pylist()
+        ok = [_reaches_end(n, memoryview(c.as_buffer()))
+              for n, c in zip(names, batch.column("content"))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n for n, k in zip(names, ok) if not k], pa.string())], ["file_path"])
+
+
+def _probed(spark, location):
+    """Paths of the broken ones among the compressed files of ``PROBED``, by one read of each."""
+    reach_workers(spark)
+    files = spark.read.format("binaryFile").load(location).where(
+        F.rlike(F.col("_metadata.file_path"), F.lit(PROBED))
+        & F.col("length").between(1, PROBED_BYTES))
+    found = files.select(F.col("_metadata.file_path").alias("file_path"), "content").mapInArrow(
+        _ends, "file_path string")
+    return [r["file_path"] for r in found.collect()]
+
+
+def _until_whole(spark, location, write):
+    """Runs ``write(torn)`` until no file outside ``torn`` breaks it; the paths in ``torn``.
+
+    One pass finds the broken files of common kinds. Another kind of file, or one that only
+    Spark's codec refuses, shows by the error of the write and costs one more write.
     """
-    path, torn = F.col("_metadata.file_path"), []
+    path = F.col("_metadata.file_path")
     files = spark.read.format("binaryFile").load(location)
-    if files.where(F.rlike(path, F.lit(COMPRESSED))).select("length").isEmpty():
-        return torn
+    packed = not files.where(F.rlike(path, F.lit(COMPRESSED))).select("length").isEmpty()
+    torn = _probed(spark, location) if packed else []
     while True:
-        lines = spark.read.option("ignoreCorruptFiles", False).text(location)
         try:
-            _but(lines.where(F.rlike(path, F.lit(COMPRESSED))), torn).agg(
-                F.max(F.length("value"))).collect()
+            write(torn)
             return torn
         except (Py4JJavaError, PySparkException) as error:
             named = re.search(r"\[FAILED_READ_FILE\.NO_HINT\] .*? reading file (\S+)\. ", str(error))
             # The message has file:///x where the metadata column has file:/x.
             name = named and re.sub(r"^([\w+.-]+):///", r"\1:/", named[1])
-            if not name or name in torn:
+            if not name or name in torn or not re.search(COMPRESSED, name):
                 raise
             torn.append(name)
 
@@ -61,45 +119,61 @@ def file_status(spark, folder, pattern="*.csv"):
 
     The header is the first line that isn't blank. A file whose header isn't UTF-8 is
     unreadable, one without any line is empty, and a compressed one that cannot be read to
-    its end is unreadable too; compressed files are read for that at once. Any other read
-    error fails its task. Raises AnalysisException where nothing matches.
+    its end is unreadable too. All files are read at once, and the status is stored in the
+    shared folder, so that nothing made from it reads them again. Any other read error fails
+    its task. Raises AnalysisException where nothing matches.
     """
-    return _status(spark, f"{folder}/{pattern}")[0]
+    return _status(spark, f"{folder}/{pattern}")[0].drop("length")
 
 
 def _status(spark, location):
-    """The status of every file, and the paths of the torn ones."""
+    """The stored status of every file, and the paths of the torn ones."""
     listed = (spark.read.format("binaryFile").load(location)
               .select(F.col("_metadata.file_path").alias("file_path"), "length"))
-    torn = _torn(spark, location)
     blank = F.trim(F.regexp_replace("value", "^\ufeff|[\r\t]", "")) == ""
-    lines = (_but(spark.read.option("ignoreCorruptFiles", False).text(location), torn)
-             .select(F.col("_metadata.file_path").alias("file_path"), "value",
-                     F.struct(F.col("_metadata.file_block_start"),
-                              F.monotonically_increasing_id()).alias("place")))
-    first = lines.groupBy("file_path").agg(
-        F.min_by("value", F.when(~blank, F.col("place"))).alias("line"),
-        F.count(F.lit(1)).alias("lines"))
     valid = F.is_valid_utf8("line")
-    known = listed.join(first, "file_path", "left")
-    whole = ~F.col("file_path").isin(torn) if torn else F.lit(True)
-    status = known.select(
-        "file_path",
-        F.when(valid, F.trim(F.regexp_replace("line", "^\ufeff|\r$", ""))).alias("header"),
-        F.when(~whole | F.col("lines").isNull() & (F.col("length") > 0), "unreadable")
-        .when(F.col("line").isNull(), "empty")
-        .when(valid, "ok").otherwise("unreadable").alias("status"),
-        F.when(~whole, "not readable to its end").when(F.col("line").isNull(), "no header")
-        .when(~valid, "header isn't UTF-8").alias("error"))
-    return status, torn
+    path = scratch_path(spark, "file-status")
+
+    def write(torn):
+        lines = (_but(spark.read.option("ignoreCorruptFiles", False).text(location), torn)
+                 .select(F.col("_metadata.file_path").alias("file_path"), "value",
+                         F.struct(F.col("_metadata.file_block_start"),
+                                  F.monotonically_increasing_id()).alias("place")))
+        first = lines.groupBy("file_path").agg(
+            F.min_by("value", F.when(~blank, F.col("place"))).alias("line"),
+            F.count(F.lit(1)).alias("lines"))
+        whole = ~F.col("file_path").isin(torn) if torn else F.lit(True)
+        listed.join(first, "file_path", "left").select(
+            "file_path", "length",
+            F.when(valid, F.trim(F.regexp_replace("line", "^\ufeff|\r$", ""))).alias("header"),
+            F.when(~whole | F.col("lines").isNull() & (F.col("length") > 0), "unreadable")
+            .when(F.col("line").isNull(), "empty")
+            .when(valid, "ok").otherwise("unreadable").alias("status"),
+            F.when(~whole, "not readable to its end").when(F.col("line").isNull(), "no header")
+            .when(~valid, "header isn't UTF-8").alias("error")).write.mode(
+            "overwrite").parquet(path)
+    torn = _until_whole(spark, location, write)
+    return spark.read.parquet(path), torn
 
 
 def _names(header):
-    """The column names of a CSV header line, quotes undone."""
+    """The column names of a CSV header line, quotes undone, no name twice.
+
+    A repeated name gets the first number from 2 that makes a new one: ``a, a, a_2`` are
+    read as ``a, a_3, a_2``.
+    """
     cells = F.regexp_extract_all(header, F.lit(r'(?:^|,)\s*("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
-    return F.transform(cells, lambda c: F.trim(F.replace(
+    given = F.transform(cells, lambda c: F.trim(F.replace(
         F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))))
 
+    def free(used, name):
+        tries = F.transform(F.sequence(F.lit(2), 2 * F.size(given) + 2),
+                            lambda k: F.concat_ws("_", name, k.cast("string")))
+        return F.get(F.array_except(tries, F.concat(used, given)), F.lit(0))
+    numbered = F.aggregate(given, F.array().cast("array<string>"), lambda used, name: F.concat(
+        used, F.array(F.when(F.array_contains(used, name), free(used, name)).otherwise(name))))
+    return F.when(F.size(F.array_distinct(given)) == F.size(given), given).otherwise(numbered)
+
 
 def _text_schema(names):
     return T.StructType([T.StructField(c, T.StringType()) for c in names])
@@ -109,11 +183,13 @@ def scan_files(spark, folder, pattern="*.csv"):
     """Rows of all readable files, columns matched by name, everything as text.
 
     Spark matches CSV columns by position, so one positional scan reads all files and every
-    row finds its columns by the header of its file; a column a file lacks is null. Rows
-    meet their header by (file, block), so one large file is not one key. Only the distinct
-    column names reach the driver. Files that are no CSV text are left out and named by
-    ``file_status``; where files exist and none is readable that is an error. Empty, with
-    the raw columns, where no file matches.
+    row finds its columns by the header of its file; a column a file lacks is null, a name
+    that a header repeats is numbered. The files are read twice: for their status, which is
+    stored, and for the rows; compressed files once more for their end. Rows meet their
+    header by pieces of the file, known from its length, so one large file is not one key.
+    Only the distinct column names reach the driver. Files that are no CSV text are left out
+    and named by ``file_status``; where files exist and none is readable that is an error.
+    Empty, with the raw columns, where no file matches.
     """
     try:
         status, torn = _status(spark, f"{folder}/{pattern}")
@@ -122,7 +198,7 @@ def scan_files(spark, folder, pattern="*.csv"):
             raise
         return spark.createDataFrame([], RAW_SCHEMA)
     readable = status.filter(F.col("status") == "ok").select(
-        "file_path", _names(F.col("header")).alias("names"))
+        "file_path", "length", _names(F.col("header")).alias("names"))
     found = readable.select(F.posexplode("names").alias("place", "name")).groupBy("name").agg(
         F.min("place").alias("place")).orderBy("place", "name").collect()
     if not found:
@@ -132,20 +208,20 @@ def scan_files(spark, folder, pattern="*.csv"):
         return spark.createDataFrame([], RAW_SCHEMA)
     width = readable.agg(F.max(F.size("names"))).first()[0]
     reader = spark.read.option("ignoreCorruptFiles", False)
+    piece = F.floor(F.col("_metadata.file_block_start") / PIECE)
     rows = _but(reader.schema(_text_schema([f"_c{i}" for i in range(width)])).csv(
         f"{folder}/{pattern}", header=True, maxColumns=max(width, 20480)), torn).select(
         F.array(*[f"_c{i}" for i in range(width)]).alias("cells"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"))
+        F.col("_metadata.file_path").alias("file_path"), piece.alias("piece"))
     places = F.transform(F.array(*[F.lit(r["name"]) for r in found]),
                          lambda name: F.array_position("names", name).cast("int") - 1)
-    blocks = rows.select("file_path", "block").distinct().join(
-        readable.select("file_path", places.alias("places")), "file_path")
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / PIECE))
+    headers = readable.select("file_path", F.explode(pieces).alias("piece"), places.alias("places"))
 
     def cell(i):
         place = F.get("places", F.lit(i))
         return F.when(place >= 0, F.get("cells", place))
-    return rows.join(blocks, ["file_path", "block"]).select(
+    return rows.join(headers, ["file_path", "piece"]).select(
         *[cell(i).alias(r["name"]) for i, r in enumerate(found)])
 
 
