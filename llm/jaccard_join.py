@@ -12,6 +12,7 @@ as large as their region are compared in blocks.
 """
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,9 @@ BUCKET_BITS, SLICE_BITS = 27, 18
 COMMON, MEMBERS, LEAF = 16, 1000, 1000
 #: Pivots of a region.
 PIVOTS = 16
+#: A region is not divided by its pivots if a cell keeps more than this part of it, or if
+#: all cells together hold more than so many times its sets.
+UNDIVIDED, REPEATED = 0.8, 3
 
 _FACTORS = [np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -311,10 +315,11 @@ def _digest_places(batches):
 class Region:
     """Sets that are joined in memory."""
 
-    def __init__(self, keys, sides, sets, threshold):
+    def __init__(self, keys, sides, sets, labels, threshold):
         self.keys, self.sides, self.sets, self.threshold = keys, sides, sets, threshold
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        self.parent = list(range(len(keys)))
+        first = {}  # sets of a label are linked already
+        self.parent = [first.setdefault(label, i) for i, label in enumerate(labels)]
         self.edges = []
 
     def root(self, i):
@@ -340,6 +345,8 @@ class Region:
 
     def join(self, members):
         """Links of the members by recursive Voronoi cells."""
+        if len({self.root(i) for i in members.tolist()}) == 1:
+            return None
         if len(members) <= 16:
             return self.compare(members, None)
         pivots, distances = [], []
@@ -359,7 +366,8 @@ class Region:
         distances = np.array(distances)
         reach = distances <= nearest + 2 * self.threshold.radius + 1e-9
         cells = [members[r] for r in reach if r.sum() > 1]
-        if max(map(len, cells), default=0) > 0.8 * len(members):
+        sizes = [len(c) for c in cells]
+        if max(sizes, default=0) > UNDIVIDED * len(members) or sum(sizes) > REPEATED * len(members):
             return self.compare(members, distances)
         for cell in cells:
             self.join(cell)
@@ -400,7 +408,8 @@ def _leaves(threshold):
             keys = sorted(rows)
             sides = np.array([rows[k][0] for k in keys])
             own = Region(keys, sides if len(set(sides.tolist())) > 1 else None,
-                         [np.frombuffer(rows[k][1], dtype=np.uint64) for k in keys], threshold)
+                         [np.frombuffer(rows[k][1], dtype=np.uint64) for k in keys],
+                         [rows[k][2] for k in keys], threshold)
             own.join(np.arange(len(keys))) if own.sides is None else \
                 own.compare(np.arange(len(keys)), None)
             if not own.edges:
@@ -410,32 +419,32 @@ def _leaves(threshold):
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
-            for key, cid, side, blob in zip(*(batch.column(c).to_pylist() for c in (
-                    "region", "cid", "side", "elements"))):
+            for key, cid, side, blob, label in zip(*(batch.column(c).to_pylist() for c in (
+                    "region", "cid", "side", "elements", "label"))):
                 if key != region:
                     if (found := closed()) is not None:
                         yield found
                     region, rows = key, {}
-                rows[cid] = (side, blob)
+                rows[cid] = (side, blob, label)
         if (found := closed()) is not None:
             yield found
     return leaves
 
 
-_CELLS = "region long, cid long, elements binary, of long, a long, b long"
+_CELLS = "region long, parent long, cid long, elements binary, a long, b long"
 
 
 def _celled(threshold):
     """Rows of large regions with their region's pivots: the cells each row belongs to."""
     def celled(batches):
         names = [c.split()[0] for c in _CELLS.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
         known = {}
         for batch in batches:
             out = [[] for _ in types]
-            for region, cid, blob, n, pivots in zip(*(batch.column(c) for c in (
-                    "region", "cid", "elements", "n", "pivots"))):
-                region, cid, blob, n = region.as_py(), cid.as_py(), blob.as_py(), n.as_py()
+            for region, cid, blob, pivots in zip(*(batch.column(c) for c in (
+                    "region", "cid", "elements", "pivots"))):
+                region, cid, blob = region.as_py(), cid.as_py(), blob.as_py()
                 if region not in known:
                     known = {region: [(p["cid"], np.frombuffer(p["elements"], np.uint64))
                                       for p in pivots.as_py()]}
@@ -452,76 +461,139 @@ def _celled(threshold):
                 for i, d in enumerate(distance):
                     if d <= least + 2 * threshold.radius + 1e-9:
                         cell = hash((region, i)) & (1 << 62) - 1
-                        for column, value in zip(out, (cell, cid, blob, n, None, None)):
+                        for column, value in zip(out, (cell, region, cid, blob, None, None)):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
     return celled
 
 
-def _split(large, threshold):
-    """Cells of large(region, cid, elements, n) and the links to pivots found on the way.
+def _split(large, threshold, turn, leaf):
+    """Cells of large(region, cid, label, elements, n) and the links to pivots found on the way.
 
-    Pivots are the sets with the smallest hash in each of PIVOTS shares of a region; a
-    region's rows are dealt over the cluster and its pivots go to each share of them.
+    Labels are dealt to PIVOTS shares of a region, and the set with the smallest hash in each
+    is a pivot, so that sets linked already give one pivot at most; each turn has others. A
+    region's rows are dealt over the cluster, in as many shares as it is large, and its pivots
+    go to each share.
     """
-    large = large.dropDuplicates(["region", "cid"])
-    shares = 4 * parallelism(large.sparkSession)
-    order = F.xxhash64("cid")
-    pivots = large.groupBy("region", F.pmod(order, F.lit(PIVOTS)).alias("part")).agg(
-        F.min(F.struct(order.alias("order"), F.col("cid"))).alias("least")) \
-        .select("region", F.col("least.cid").alias("cid"))
-    chosen = large.join(pivots, ["region", "cid"]).groupBy("region").agg(
+    most = 4 * parallelism(large.sparkSession)
+    pivots = large.groupBy("region", F.pmod(F.xxhash64("label", F.lit(turn)), F.lit(PIVOTS)).alias(
+        "part")).agg(F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("order"), F.col("cid")))
+                     .alias("least")).select("region", F.col("least.cid").alias("cid"))
+    chosen = large.join(pivots, ["region", "cid"]).groupBy("region", "n").agg(
         F.sort_array(F.collect_list(F.struct("cid", "elements"))).alias("pivots"))
-    dealt = large.withColumn("share", F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(shares)))
-    spread = chosen.withColumn("share", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    shares = F.least(F.lit(most).cast("long"), F.ceil(F.col("n") / leaf).cast("long"))
+    dealt = large.withColumn("share", F.pmod(F.xxhash64("cid", F.lit(1)), shares))
+    spread = chosen.select("region", "pivots", F.explode(F.sequence(
+        F.lit(0).cast("long"), shares - 1)).alias("share"))
     rows = dealt.join(spread, ["region", "share"])
-    return written(mapped(rows.select("region", "cid", "elements", "n", "pivots"),
+    return written(mapped(rows.select("region", "cid", "elements", "pivots"),
                           _celled(threshold), _CELLS), "cells")
 
 
 def _blocks(dense, leaf):
-    """Leaves of two sides: pairs of blocks of dense(region, cid, elements, n).
+    """Leaves of two sides: pairs of blocks of dense(region, cid, label, elements).
 
-    Pivots could not divide these regions, so all their sets lie close together.
+    Pivots could not divide these regions, so all their sets lie close together. Sets of one
+    label are linked already: a label of more than half a leaf has blocks of its own, which
+    meet the blocks of the others only; so a large group of linked sets is met by what is
+    outside of it, and not by itself.
     """
-    rows = dense.withColumn("blocks", F.ceil(F.col("n") * 2 / leaf).cast("long"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("cid", F.lit(2)), F.col("blocks")))
-    pairs = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                          F.col("blocks") - 1)))
-    return pairs.select(
-        F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
-        .alias("region"), "cid", (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "elements")
+    half = max(1, leaf // 2)
+    per_label = dense.groupBy("region", "label").agg(F.count(F.lit(1)).alias("m"))
+    own = F.col("m") > half
+    rest = per_label.where(~own).groupBy("region").agg(F.sum("m").alias("rest"))
+    named = written(per_label.join(rest, "region", "left").select(
+        "region", "label", F.when(own, F.col("label")).alias("group"),
+        F.ceil(F.when(own, F.col("m")).otherwise(F.col("rest")) / half).cast("long").alias("parts")),
+        "labels")
+    part = F.pmod(F.when(F.col("group").isNull(), F.xxhash64("label", F.lit(2)))
+                  .otherwise(F.xxhash64("cid", F.lit(2))), F.col("parts"))
+    rows = dense.join(named, ["region", "label"]).withColumn("part", part)
+    blocks = written(rows.select("region", "group", "part").distinct().withColumn(
+        "block", F.xxhash64("group", "part")), "blocks")
+    other = blocks.select("region", F.col("group").alias("group2"), F.col("block").alias("block2"))
+    pairs = blocks.join(other, "region").where(
+        "block <= block2 AND (group IS NULL OR group2 IS NULL OR group <> group2)").select(
+        "region", "block", "block2", F.xxhash64("region", "block", "block2").alias("leaf"))
+    sides = pairs.select("region", "block", "leaf", F.lit(0).alias("side")).union(
+        pairs.where("block < block2").select("region", "block2", "leaf", F.lit(1)))
+    return rows.withColumn("block", F.xxhash64("group", "part")).join(
+        sides, ["region", "block"]).select(
+        F.col("leaf").alias("region"), "cid", "side", "label", "elements")
+
+
+def _labelled(rows, labels):
+    """The rows with the label of what links found so far connect them to."""
+    return rows.drop("label").join(labels, "cid", "left").withColumn(
+        "label", F.coalesce("label", "cid"))
+
+
+def _divided(rows, cells, labels, leaf):
+    """What becomes of each region that was split.
+
+    (cell, keep) of the cells that go on, and (region, left, again) of the regions that their
+    pivots did not divide: ``left`` is what lies outside of the largest label. While a turn
+    halves that, the region gets other pivots ``again``; else it is compared in blocks.
+    """
+    tally = written(_labelled(cells.select("region", "parent", "cid"), labels).groupBy(
+        "parent", "region").agg(F.count(F.lit(1)).alias("m"),
+                                (F.min("label") != F.max("label")).alias("mixed")), "cell-sizes")
+    ids = _labelled(rows.select("region", "cid", "n", "before"), labels)
+    largest = ids.groupBy("region", "n", "before", "label").agg(F.count(F.lit(1)).alias("m")) \
+        .groupBy("region", "n", "before").agg((F.col("n") - F.max("m")).alias("left"))
+    state = written(tally.groupBy(F.col("parent").alias("region")).agg(
+        F.max("m").alias("most"), F.sum("m").alias("all")).join(largest, "region").select(
+        "region", "left",
+        ((F.col("most") > UNDIVIDED * F.col("n")) | (F.col("all") > REPEATED * F.col("n")))
+        .alias("dense"),
+        ((F.col("left") > leaf) & (2 * F.col("left") <= F.coalesce("before", "n"))).alias("again")),
+        "states")
+    kept = tally.where("mixed").join(
+        state.where("NOT dense").select(F.col("region").alias("parent")), "parent", "left_semi")
+    return kept.select("region"), state.where("dense AND left > 0").drop("dense")
 
 
 def _joined(regions, threshold, leaf):
-    """Exact links within regions(region, cid, elements); large ones are divided first."""
-    links, leaves = [], []
-    regions = regions.withColumn("of", F.lit(None).cast("long"))
+    """Exact links within regions(region, cid, elements); large ones are divided first.
+
+    Links to pivots are contracted after every turn: cells and leaves whose sets are all
+    connected already are done.
+    """
+    links, leaves, turn = [], [], 0
+    regions = regions.select("region", "cid", F.col("cid").alias("label"), "elements",
+                             F.lit(None).cast("long").alias("before"))
     while True:
-        sizes = written(regions.groupBy("region").agg(
-            F.count(F.lit(1)).alias("n"), F.max("of").alias("of")), "region-sizes")
+        sizes = written(regions.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
         large = sizes.where(F.col("n") > leaf)
         divided = not large.isEmpty()
         small = regions.join(large, "region", "left_anti") if divided else regions
-        leaves.append(small.select("region", "cid", F.lit(0).alias("side"), "elements"))
+        leaves.append(small.select("region", "cid", F.lit(0).alias("side"), "label", "elements"))
         if not divided:
             break
-        still = F.coalesce(F.col("n") > 0.8 * F.col("of"), F.lit(False))
-        rows = regions.drop("of").join(large, "region")
-        leaves.append(_blocks(rows.where(still), leaf))
-        cells = _split(rows.where(~still).drop("of"), threshold)
-        links.append(cells.where("a IS NOT NULL").select("a", "b"))
-        regions = cells.where("a IS NULL").select("region", "cid", "elements", "of")
+        rows = regions.join(large, "region")
+        split = _split(rows, threshold, turn, leaf)
+        links.append(split.where("a IS NOT NULL").select("a", "b"))
+        labels = written(components(_union(links)).select(F.col("node").alias("cid"), "label"),
+                         "linked")
+        cells = split.where("a IS NULL").select("region", "parent", "cid", "elements")
+        kept, dense = _divided(rows, cells, labels, leaf)
+        rows = _labelled(rows.select("region", "cid", "label", "elements").join(
+            dense, "region"), labels)
+        leaves.append(_blocks(rows.where("NOT again"), leaf))
+        columns = ["region", "cid", "label", "elements", "before"]
+        regions = _labelled(cells.join(kept, "region", "left_semi"), labels).withColumn(
+            "before", F.lit(None).cast("long")).select(columns).union(
+            rows.where("again").withColumn("before", F.col("left")).select(columns))
+        turn += 1
     for some in leaves:
         dealt = some.repartition(parallelism(some.sparkSession), "region") \
             .sortWithinPartitions("region")
         links.append(mapped(dealt, _leaves(threshold), "a long, b long"))
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    return found
+    return _union(links)
+
+
+def _union(frames):
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS, leaf=LEAF):
@@ -563,6 +635,7 @@ def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS,
     involved = written(heads.select("cid", "digest").join(coarse, "cid"), "involved")
     wanted, = _bitsets(mapped(involved.select("digest"), _digest_places, _PLACES), [1])
     sets = mapped(texts, _sets(size, wanted), "digest binary, elements binary")
+    sets = sets.dropDuplicates(["digest"])
     regions = involved.join(sets, "digest").select("region", "cid", "elements")
     links = _joined(written(regions, "regions"), threshold, leaf)
     labels = components(links).select(F.col("node").alias("cid"), "label")

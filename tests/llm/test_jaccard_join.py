@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from llm import jaccard_join as jaccard_module
 from llm.components import components
 from llm.jaccard_join import jaccard_join
 
@@ -60,6 +61,45 @@ def test_matches_brute_force(make_docs, copies, k, num, sizes):
     assert sorted((tuple(r) for r in found), key=repr) == brute(copies, k, num, 100)
 
 
+def near_copies(n, changes, seed=5):
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(changes(r)):
+            words[r.randrange(120)] = f"x{r.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_leaf_rows_grow_with_a_group_of_near_copies(spark, make_docs, monkeypatch):
+    """Sets that pivots connected already don't meet one another again."""
+    leaves = []
+    mapped = jaccard_module.mapped
+
+    def seen(frame, function, schema):
+        if "side" in frame.columns and "label" in frame.columns:
+            leaves[-1] += frame.count()
+        return mapped(frame, function, schema)
+    monkeypatch.setattr(jaccard_module, "mapped", seen)
+    for n in (200, 400):
+        leaves.append(0)
+        rows = near_copies(n, lambda r: r.randrange(3))
+        found = jaccard_join(make_docs(rows), 3, 80, 100, common=3, members=5, leaf=40).collect()
+        assert sorted(map(tuple, found), key=repr) == brute(rows, 3, 80, 100)
+    assert leaves[0] < 4 * 200 and leaves[1] < 4 * 400
+
+
+@pytest.mark.parametrize("changes", [lambda r: r.randrange(6), lambda r: 4 + r.randrange(4),
+                                     lambda r: r.choice([0, 1, 1, 9])])
+def test_loose_groups_match_brute_force(make_docs, changes):
+    """Groups that pivots connect in part, or not at all, in further turns and in blocks."""
+    rows = near_copies(220, changes)
+    found = jaccard_join(make_docs(rows), 3, 90, 100, common=3, members=5, leaf=12).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows, 3, 90, 100)
+
+
 def test_awkward_rows(make_docs, awkward):
     found = jaccard_join(make_docs(awkward), 3, 90, 100).collect()
     assert sorted((tuple(r) for r in found), key=repr) == brute(awkward, 3, 90, 100)
