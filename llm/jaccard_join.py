@@ -7,8 +7,9 @@ elements in a global order, as many as two linked sets cannot both avoid. There
 that never overestimates the difference removes pairs that cannot be linked, and what is
 left connects documents to coarse regions. Then a region is joined recursively and exactly:
 pivots create Voronoi cells, a document goes to the cell of its nearest pivot and, within a
-window of twice the radius that the triangle inequality allows, to others; cells that stay
-as large as their region are compared in blocks.
+window of twice the radius that the triangle inequality allows, to others. Links found on
+the way are contracted, so that sets connected already don't meet again; regions that no
+pivots divide are compared in blocks of sets that nothing connects yet.
 """
 
 import hashlib
