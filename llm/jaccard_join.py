@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from llm.components import components
 from llm.frames import mapped, parallelism, written
+from llm.link_counts import links as counted_links
 from llm.words import UNSPACED, Words, mix, slices, utf8
 
 #: Elements are counted in 2**BUCKET_BITS buckets, of which a slice of 2**SLICE_BITS is one
@@ -597,14 +598,17 @@ def _union(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS, leaf=LEAF):
-    """``doc_id, n_shingles, component_id`` for each row of ``docs(doc_id, text)``.
+def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS, leaf=LEAF,
+                 count=True):
+    """``doc_id, n_shingles, component_id, n_links`` for each row of ``docs(doc_id, text)``.
 
     A text's set is its distinct shingles of ``size`` words (``[^\\x20\\x09-\\x0D]+`` after
     lower-casing A-Z); one of fewer words has its whole sequence as one, a null or wordless
     text has none and is linked with nothing. Rows whose sets have a Jaccard similarity of at
     least ``num / den`` are linked; ``component_id`` is the smallest ``doc_id`` that links
-    reach, the own one included (null only where all are null). ``common``, ``members`` and
+    reach, the own one included (null only where all are null), ``n_links`` the number of
+    other rows linked to it directly. Without ``count`` there is no ``n_links``: sets that are
+    connected already don't meet again, which saves most of the work in large groups. ``common``, ``members`` and
     ``leaf`` say how work is divided, not what is found. Equal sets count as one until the
     end, so copies cost nothing; repeated rows stay; other columns are left out; an empty
     table gives an empty result.
@@ -624,8 +628,10 @@ def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS,
     rows = written(mapped(docs, _described(size, threshold, order, shared, crowded), _ROWS),
                    "described")
     classes = rows.where("n > 0").groupBy("digest").agg(
-        F.min("row").alias("cid"), F.min("doc_id").alias("least"))
-    heads = rows.where("sketch IS NOT NULL").join(classes.select("cid"), F.col("row") == F.col("cid"))
+        F.min("row").alias("cid"), F.min("doc_id").alias("least"),
+        F.count(F.lit(1)).alias("copies"))
+    heads = rows.where("sketch IS NOT NULL").join(classes.select("cid", "copies"),
+                                                  F.col("row") == F.col("cid"))
     met = heads.select(F.explode("anchors").alias("anchor"), "cid", "n", "sketch")
     met = met.repartition(parallelism(docs.sparkSession), "anchor").sortWithinPartitions("anchor")
     near = mapped(met, _meeting(threshold), "a long, b long")
@@ -633,21 +639,30 @@ def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS,
     hubs = crowds.groupBy("anchor").agg(F.min("cid").alias("a"))
     near = near.union(crowds.join(hubs, "anchor").select("a", F.col("cid").alias("b")))
     coarse = components(near).select(F.col("node").alias("cid"), F.col("label").alias("region"))
-    involved = written(heads.select("cid", "digest").join(coarse, "cid"), "involved")
+    involved = written(heads.select("cid", "digest", "copies").join(coarse, "cid"), "involved")
     wanted, = _bitsets(mapped(involved.select("digest"), _digest_places, _PLACES), [1])
     sets = mapped(texts, _sets(size, wanted), "digest binary, elements binary")
     sets = sets.dropDuplicates(["digest"])
-    regions = involved.join(sets, "digest").select("region", "cid", "elements")
-    links = _joined(written(regions, "regions"), threshold, leaf)
+    regions = written(involved.join(sets, "digest").select(
+        "region", "cid", F.col("copies").alias("weight"), "elements"), "regions")
+    if count:
+        found = counted_links(regions, threshold, leaf)
+        links = found.where("a IS NOT NULL").select("a", "b")
+        degrees = found.where("cid IS NOT NULL").groupBy("cid").agg(F.sum("links").alias("links"))
+        classes = classes.join(degrees, "cid", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    else:
+        links = _joined(regions, threshold, leaf)
     labels = components(links).select(F.col("node").alias("cid"), "label")
     named = classes.join(labels, "cid", "left").withColumn(
         "label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "label").select("digest", "component_id")
+    counts = ["n_links"] if count else []
+    named = named.join(least, "label").select("digest", "component_id", *counts)
     return rows.join(named, "digest", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        .alias("component_id"))
+        .alias("component_id"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
 
 
 #: The result of op2 in DuckDB's SQL.
@@ -666,6 +681,8 @@ l AS (
     SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
     WHERE 100 * shared >= 90 * (a.n + b.n - shared)),
 r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
-c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x),
+d AS (SELECT x AS doc_id, count(*) AS n_links FROM l GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM c LEFT JOIN n USING (doc_id) LEFT JOIN d USING (doc_id)
 """

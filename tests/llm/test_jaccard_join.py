@@ -17,9 +17,9 @@ def shingles(text, k):
     return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)}
 
 
-def brute(rows, k, num, den):
+def brute(rows, k, num, den, count=False):
     sets = [shingles(t, k) for _, t in rows]
-    parent = list(range(len(rows)))
+    parent, links = list(range(len(rows))), [0] * len(rows)
 
     def root(x):
         while parent[x] != x:
@@ -29,11 +29,13 @@ def brute(rows, k, num, den):
         for b, y in enumerate(sets[:a]):
             if x and y and den * len(x & y) >= num * len(x | y):
                 parent[root(a)] = root(b)
+                links[a] += 1
+                links[b] += 1
     least = {}
     for a, (i, _) in enumerate(rows):
         if i is not None:
             least[root(a)] = min(i, least.get(root(a), i))
-    return sorted(((i, len(s), least.get(root(a)) if s else i)
+    return sorted(((i, len(s), least.get(root(a)) if s else i) + ((links[a],) if count else ())
                    for a, ((i, _), s) in enumerate(zip(rows, sets))), key=repr)
 
 
@@ -52,13 +54,14 @@ def copies():
                    for i in range(90, 180)]
 
 
+@pytest.mark.parametrize("count", [True, False])
 @pytest.mark.parametrize("k, num, sizes", [
     (3, 90, {}), (5, 80, {"common": 3, "members": 5, "leaf": 10}),
     (2, 50, {"common": 4, "members": 1000, "leaf": 16})])
-def test_matches_brute_force(make_docs, copies, k, num, sizes):
+def test_matches_brute_force(make_docs, copies, k, num, sizes, count):
     """Small limits send the group through crowds, cells and blocks."""
-    found = jaccard_join(make_docs(copies), k, num, 100, **sizes).collect()
-    assert sorted((tuple(r) for r in found), key=repr) == brute(copies, k, num, 100)
+    found = jaccard_join(make_docs(copies), k, num, 100, count=count, **sizes).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(copies, k, num, 100, count)
 
 
 def near_copies(n, changes, seed=5):
@@ -86,23 +89,27 @@ def test_leaf_rows_grow_with_a_group_of_near_copies(spark, make_docs, monkeypatc
     for n in (200, 400):
         leaves.append(0)
         rows = near_copies(n, lambda r: r.randrange(3))
-        found = jaccard_join(make_docs(rows), 3, 80, 100, common=3, members=5, leaf=40).collect()
+        found = jaccard_join(make_docs(rows), 3, 80, 100, common=3, members=5, leaf=40,
+                             count=False).collect()
         assert sorted(map(tuple, found), key=repr) == brute(rows, 3, 80, 100)
     assert leaves[0] < 4 * 200 and leaves[1] < 4 * 400
 
 
+@pytest.mark.parametrize("count", [True, False])
 @pytest.mark.parametrize("changes", [lambda r: r.randrange(6), lambda r: 4 + r.randrange(4),
                                      lambda r: r.choice([0, 1, 1, 9])])
-def test_loose_groups_match_brute_force(make_docs, changes):
+def test_loose_groups_match_brute_force(make_docs, changes, count):
     """Groups that pivots connect in part, or not at all, in further turns and in blocks."""
     rows = near_copies(220, changes)
-    found = jaccard_join(make_docs(rows), 3, 90, 100, common=3, members=5, leaf=12).collect()
-    assert sorted(map(tuple, found), key=repr) == brute(rows, 3, 90, 100)
+    found = jaccard_join(make_docs(rows), 3, 90, 100, common=3, members=5, leaf=12,
+                         count=count).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rows, 3, 90, 100, count)
 
 
 def test_awkward_rows(make_docs, awkward):
-    found = jaccard_join(make_docs(awkward), 3, 90, 100).collect()
-    assert sorted((tuple(r) for r in found), key=repr) == brute(awkward, 3, 90, 100)
+    for count in (True, False):
+        found = jaccard_join(make_docs(awkward), 3, 90, 100, count=count).collect()
+        assert sorted(map(tuple, found), key=repr) == brute(awkward, 3, 90, 100, count)
 
 
 def test_empty(make_docs):
