@@ -12,13 +12,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from llm.frames import mapped, written
+from llm.frames import mapped, met, written
 from llm.words import ALNUM, Words, slices, utf8
 
 #: Words of a test phrase; places by which a proximity match may be off.
 WINDOW, SLOP = 10, 2
-#: Text bytes of a segment, words of a block of test items, candidates held at once.
-SEGMENT_BYTES, BLOCK_WORDS, CANDIDATES = 2 << 20, 400_000, 1_000_000
+#: Text bytes of a segment, words of a block of test items (of 8 bytes at most on average),
+#: windows of a piece of an item, candidates held at once.
+SEGMENT_BYTES, BLOCK_WORDS, PIECE_WINDOWS, CANDIDATES = 2 << 20, 400_000, 20_000, 1_000_000
 
 _INDEX = ("segment long, doc_ids array<long>, doc_words array<int>, terms binary, "
           "counts binary, gaps binary")
@@ -91,23 +92,85 @@ def build_index(docs, segment_bytes=SEGMENT_BYTES):
     return written(mapped(pairs, _indexed(segment_bytes), _INDEX), "postings", compression="zstd")
 
 
+_PIECES = "piece long, item string, n long, text string"
+
+
+def _cut(window, windows):
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+
+    def cut(batches):
+        piece = TaskContext.get().partitionId() << 40
+        for whole in batches:
+            for batch in slices(whole, "text", 2 << 20):
+                words = Words(*utf8(batch.column("text")), ALNUM)
+                items = batch.column("item_id").to_pylist()
+                for item, first, last in zip(items, words.bounds[:-1].tolist(),
+                                             words.bounds[1:].tolist()):
+                    # Every window of an item lies in one of its pieces.
+                    for begin in range(first, max(first + 1, last - window + 1) if last > first
+                                       else first, windows):
+                        end = min(begin + windows + window - 1, last)
+                        text = b" ".join([words.text(i) for i in range(begin, end)]).decode()
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([piece], pa.int64()), pa.array([item], pa.string()),
+                            pa.array([end - begin], pa.int64()), pa.array([text], pa.string())],
+                            names)
+                        piece += 1
+    return cut
+
+
+_BLOCKS = "block long, items array<string>, vocabulary binary, ids binary, sizes binary"
+
+
+def _numbered(batches):
+    """The words of a block's pieces as numbers in its vocabulary."""
+    for batch in batches:
+        for block, pieces in zip(batch.column("block").to_pylist(),
+                                 batch.column("pieces").to_pylist()):
+            vocabulary, ids, sizes = {}, [], []
+            for piece in pieces:
+                words = piece["text"].encode().split(b" ")
+                ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+                sizes.append(len(words))
+            row = [[block], [[p["item"] for p in pieces]], [b" ".join(vocabulary)],
+                   [np.array(ids, "<u4").tobytes()], [np.array(sizes, "<u4").tobytes()]]
+            types = [pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)],
+                                             [c.split()[0] for c in _BLOCKS.split(", ")])
+
+
+def item_blocks(benchmark, window=WINDOW, block_words=BLOCK_WORDS, windows=PIECE_WINDOWS):
+    """Stored blocks of test items and their number, 0 without words.
+
+    Items are cut into pieces that overlap, so that one long item is dealt to several blocks;
+    the number of blocks follows from the words and bytes of all pieces.
+    """
+    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    pieces = written(mapped(rows, _cut(window, windows), _PIECES), "test-pieces")
+    words, size = pieces.agg(F.sum("n"), F.sum(F.octet_length("text").cast("long"))).first()
+    number = -(-max(words or 0, (size or 0) // 8) // block_words)
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("piece"), F.lit(max(1, number))))
+    whole = dealt.groupBy("block").agg(F.collect_list(F.struct("item", "text")).alias("pieces"))
+    return written(mapped(whole, _numbered, _BLOCKS), "test-blocks"), number
+
+
 class Phrases:
-    """Test phrases of a block of items: term numbers, padded with -1, and their items."""
-
-    def __init__(self, items, window=WINDOW):
-        self.vocabulary, self.items, rows, owner = {}, [], [], []
-        for item, text in items:
-            data = np.frombuffer((text or "").encode(), dtype=np.uint8)
-            words = Words(data, np.array([0, len(data)]), ALNUM)
-            ids = [self.vocabulary.setdefault(words.text(i), len(self.vocabulary))
-                   for i in range(len(words.starts))]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                part = ids[i:i + window]
-                rows.append(part + [-1] * (window - len(part)))
-                owner.append(len(self.items))
-            self.items.append(item)
-        self.terms = np.array(rows, dtype=np.int64).reshape(-1, window)
-        self.owner = np.array(owner, dtype=np.int64)
+    """Test phrases of a block: term numbers, padded with -1, and the pieces they are from."""
+
+    def __init__(self, items, vocabulary, ids, sizes, window=WINDOW):
+        self.items = items
+        words = vocabulary.split(b" ") if vocabulary else []
+        self.vocabulary = {word: i for i, word in enumerate(words)}
+        ids = np.frombuffer(ids, "<u4").astype(np.int64)
+        sizes = np.frombuffer(sizes, "<u4").astype(np.int64)
+        ends = np.cumsum(sizes)
+        end, first = np.repeat(ends, sizes), np.repeat(ends - sizes, sizes)
+        at = np.arange(len(ids))
+        begins = np.flatnonzero((at + window <= end) | (at == first))
+        places = begins[:, None] + np.arange(window)
+        self.terms = np.append(ids, np.full(window, -1))[places]
+        self.terms[places >= end[begins, None]] = -1
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)[begins]
         self.sizes = (self.terms >= 0).sum(axis=1)
 
 
@@ -191,19 +254,27 @@ _FOUND = ("segment long, row int, doc_id long, n_words int, "
           "spans array<struct<start:int,end:int>>, items array<string>, near array<string>")
 
 
-def _searched(shared, slop):
+def _searched(window, slop):
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), span,
              pa.list_(pa.string()), pa.list_(pa.string())]
     names = [c.split()[0] for c in "segment, row, doc_id, n_words, spans, items, near".split(", ")]
 
     def search(batches):
-        phrases = shared.value
+        known, at, segment = {}, None, None
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in (
-                "segment", "doc_ids", "doc_words", "terms", "counts", "gaps")]
-            for number, ids, sizes, terms, counts, gaps in zip(*columns):
-                segment = Segment(sizes, terms, counts, gaps)
+                "segment", "doc_ids", "doc_words", "terms", "counts", "gaps", "block", "items",
+                "vocabulary", "ids", "sizes")]
+            for number, ids, sizes, terms, counts, gaps, block, *tests in zip(*columns):
+                if number != at:  # a segment's blocks follow one another
+                    at, segment = number, Segment(sizes, terms, counts, gaps)
+                if block not in known:
+                    if len(known) == 4:
+                        known.clear()
+                    known[block] = Phrases(*(tests if tests[0] is not None else
+                                             ([], b"", b"", b"")), window)
+                phrases = known[block]
                 edges = np.zeros(segment.n + 1, dtype=np.int64)
                 pairs = {True: set(), False: set()}
                 for phrase, start, exact in find(segment, phrases, slop):
@@ -236,41 +307,21 @@ def _searched(shared, slop):
     return search
 
 
-def blocks(benchmark, words=BLOCK_WORDS):
-    """Test items in lists of about ``words`` words, so that none grows with their number."""
-    block, size = [], 0
-    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    for item, text in rows.toLocalIterator():
-        block.append((item, text))
-        size += len(text or "") // 4 + 1
-        if size >= words:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
 def search(index, benchmark, window=WINDOW, slop=SLOP, block_words=BLOCK_WORDS):
     """One row for each indexed document, in the columns of ``_FOUND``.
 
     ``spans`` are the word ranges that exact matches cover, ``items`` the test items with an
-    exact match, ``near`` those with a proximity match. Each block of items passes over the
-    index once; what several blocks find in one document is put together.
+    exact match, ``near`` those with a proximity match. Blocks of items are made on the
+    executors. If all test items fit in one block, which bounds its size, it is broadcast;
+    else the blocks meet the segments by a shuffle, and what several blocks find in one
+    document is put together.
     """
-    spark = index.sparkSession
-    found = []
-    for block in blocks(benchmark, block_words):
-        shared = spark.sparkContext.broadcast(Phrases(block, window))
-        found.append(mapped(index, _searched(shared, slop), _FOUND))
-    if not found:
-        found = [mapped(index, _searched(spark.sparkContext.broadcast(Phrases([], window)), slop),
-                        _FOUND)]
-    if len(found) == 1:
-        return found[0]
-    union = found[0]
-    for more in found[1:]:
-        union = union.unionByName(more)
-    return union.groupBy("segment", "row").agg(
+    tests, number = item_blocks(benchmark, window, block_words)
+    if number <= 1:
+        one = index.withColumn("block", F.col("segment") * 0)
+        return mapped(one.join(F.broadcast(tests), "block", "left"), _searched(window, slop), _FOUND)
+    found = mapped(met(index, "segment", tests), _searched(window, slop), _FOUND)
+    return found.groupBy("segment", "row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),

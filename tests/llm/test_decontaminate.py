@@ -70,7 +70,11 @@ def test_empty_tables(spark, make_docs):
 def test_candidates_in_parts():
     """Few candidates at a time give the same matches."""
     import numpy as np
-    phrases = D.Phrases(ITEMS)
+    pieces = [w for _, text in ITEMS if (w := [x.encode() for x in words(text)])]
+    vocabulary = sorted({x for w in pieces for x in w})
+    phrases = D.Phrases([""] * len(pieces), b" ".join(vocabulary),
+                        np.array([vocabulary.index(x) for w in pieces for x in w], "<u4").tobytes(),
+                        np.array([len(w) for w in pieces], "<u4").tobytes())
     seg = D.Segment([3, 4], b"a item short", np.array([3, 2, 2], "<u4").tobytes(),
                     np.array([0, 1, 4, 2, 4, 3, 1], "<u4").tobytes())
 
@@ -78,3 +82,18 @@ def test_candidates_in_parts():
         return sorted((int(p), int(s), e) for ps, ss, e in D.find(seg, phrases, 2, n)
                       for p, s in zip(ps, ss))
     assert all_(1) == all_(1000)
+
+
+def test_one_very_long_item(spark, make_docs):
+    """An item of 10**6 words is dealt to many blocks; matches cross the edges of its pieces."""
+    item = [f"w{i}" for i in range(10 ** 6)]
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, "w5 w6")], "item_id long, text string")
+    blocks, number = D.item_blocks(benchmark, block_words=100_000)
+    assert number >= 10 and blocks.count() > 1
+    edge = D.PIECE_WINDOWS
+    docs = [(1, " ".join(item[edge - 30:edge + 40])), (2, " ".join(item[-12:])),
+            (3, " ".join(item[edge - 9:edge])), (4, "x " + " ".join(item[edge:edge + 10])),
+            (5, " ".join(item[:20]))]
+    found = D.decontaminate(make_docs(docs), benchmark, block_words=100_000)
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in found.collect()} == {
+        1: (70, 1), 2: (12, 1), 3: (0, 0), 4: (10, 1), 5: (20, 2)}
