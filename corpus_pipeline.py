@@ -28,7 +28,8 @@ def exact_copies(spark, docs, sf_dir):
 def near_copies(spark, docs, sf_dir):
     """The first document of each group that five-word shingles link at 0.8 or more."""
     rows = numbered(docs, ROW)
-    found = jaccard_join.jaccard_join(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    found = jaccard_join.jaccard_join(rows.select(F.col(ROW).alias("doc_id"), "text"),
+                                      count=False)
     found = written(found.select(F.col("doc_id").alias(ROW), "component_id"), "near-copies")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", ROW)
     first = found.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(
