@@ -3,6 +3,10 @@
 Every stage works on all rows that the one before it kept. ``STAGES`` holds the functions in
 order; each takes the session, the documents left and the folder with the other tables, and
 all but the last return the columns of ``documents``.
+
+In every stage a null text counts as empty, a null or repeated ``doc_id`` is a row of its own,
+an empty table gives an empty result, and other columns are handed on as they are. Very long
+texts are read whole: a task holds one of them at a time beside its bounded batch.
 """
 
 import public_tokenizers
@@ -21,12 +25,18 @@ def quality_classifier(spark, docs, sf_dir):
 
 
 def exact_copies(spark, docs, sf_dir):
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, ties by the smallest ``doc_id``.
+
+    Null and empty texts are equal to one another.
+    """
     return exact_dedup.deduplicated(docs)
 
 
 def near_copies(spark, docs, sf_dir):
-    """The first document of each group that five-word shingles link at 0.8 or more."""
+    """The first document of each group that five-word shingles link at 0.8 or more.
+
+    First is the smallest ``doc_id``, nulls last, ties by row. Texts without words all stay.
+    """
     rows = numbered(docs, ROW)
     found = jaccard_join.jaccard_join(rows.select(F.col(ROW).alias("doc_id"), "text"),
                                       count=False)
@@ -38,7 +48,10 @@ def near_copies(spark, docs, sf_dir):
 
 
 def benchmark_texts(spark, docs, sf_dir):
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item.
+
+    Texts without words stay, and an empty benchmark drops nothing.
+    """
     rows = numbered(docs, ROW)
     found = decontaminate.decontaminate(rows.select(F.col(ROW).alias("doc_id"), "text"),
                                         table(spark, sf_dir, "benchmark"))
@@ -47,7 +60,10 @@ def benchmark_texts(spark, docs, sf_dir):
 
 
 def token_ids(spark, docs, sf_dir):
-    """Ids of every text, packed, with digests of them and of the bytes they decode to."""
+    """Ids of every text, packed, with digests of them and of the bytes they decode to.
+
+    A null or empty text has no ids.
+    """
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return byte_bpe.encode_decode(docs, path, pattern).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
