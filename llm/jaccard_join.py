@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard join of texts, as components of linked documents.
+"""Exact n-gram Jaccard join of texts: numbers of links and components of linked documents.
 
 Jaccard distance is a metric, but between unrelated texts it is about 1, so pivots alone
 would put every document within the window of every region. Regions are therefore made in
@@ -7,7 +7,8 @@ elements in a global order, as many as two linked sets cannot both avoid. There
 that never overestimates the difference removes pairs that cannot be linked, and what is
 left connects documents to coarse regions. Then a region is joined recursively and exactly:
 pivots create Voronoi cells, a document goes to the cell of its nearest pivot and, within a
-window of twice the radius that the triangle inequality allows, to others. Links found on
+window of twice the radius that the triangle inequality allows, to others. ``link_counts``
+counts every link there once. Where only components are asked for, links found on
 the way are contracted, so that sets connected already don't meet again; regions that no
 pivots divide are compared in blocks of sets that nothing connects yet.
 """
