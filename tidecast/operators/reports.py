@@ -101,12 +101,18 @@ def win_counts(metric_df):
             .agg(F.count(F.lit(1)).alias("wins")).orderBy(F.desc("wins"), "model"))
 
 
+def _stored(report):
+    """The report in the checkpoint folder, so that what is behind it is worked out once."""
+    shared_dir(report.sparkSession)
+    return report.checkpoint()
+
+
 def flag_best(report, lowest=("mae", "rmse", "mape"), highest=("r2",), within=None):
     """Boolean column per metric marking its best value, all ties included.
 
     ``within`` limits the comparison to rows of equal key (the models of a series).
     Without it the extremes of the whole report come from one aggregate, so that no
-    window has to hold the report.
+    window has to hold the report; it is stored first, as it is read twice.
     """
     flags = []
     extremes = [(c, F.min(c)) for c in lowest] + [(c, F.max(c)) for c in highest]
@@ -114,6 +120,7 @@ def flag_best(report, lowest=("mae", "rmse", "mape"), highest=("r2",), within=No
         group = W.partitionBy(within)
         flags = [(F.col(c) == best.over(group)).alias(f"best_{c}") for c, best in extremes]
         return report.select("*", *flags)
+    report = _stored(report)
     best = report.agg(F.struct(*[e.alias(c) for c, e in extremes]).alias("best")).scalar()
     return report.select(
         "*", *[(F.col(c) == best[c]).alias(f"best_{c}") for c, _ in extremes])
@@ -131,10 +138,10 @@ def number_rows(report, *order):
 
     Sorted ranges are numbered side by side: a row's number is its place in its range
     plus the rows of the ranges before it. The ranges are written to the checkpoint
-    folder first, so a lost executor cannot shift them between the two reads.
+    folder first, so a lost executor cannot shift them between the two reads; before them
+    the report itself, which is read to find the ranges and again to fill them.
     """
-    shared_dir(report.sparkSession)
-    placed = (report.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = (_stored(report).repartitionByRange(*order).sortWithinPartitions(*order)
               .select("*", F.monotonically_increasing_id().alias("_id")).checkpoint())
     # the id holds the partition above bit 33 and the place in it below
     part = F.shiftright("_id", 33)

@@ -37,7 +37,11 @@ def rounded(df, digits, *columns):
 
 
 def baseline_predictions(source):
-    """The three models whose predictions SQL can state."""
+    """The three models whose predictions SQL can state.
+
+    They share one placement of the series over all tasks.
+    """
+    source = series.spread(source)
     return baselines.union_predictions([
         baselines.last_value(source), baselines.linear_trend(source),
         baselines.holt_on_grid(source, HOLT_GRID)])
