@@ -105,12 +105,12 @@ def raw_text_series(spark, folder):
 @query
 def csv_round_trip(spark, folder):
     """Raw files with the unit's own years in their keys, written, scanned back, summarised."""
-    raw = tables.raw_records(spark, folder)
+    raw = tables.raw_records(spark, folder, placed=True)
     own = W.partitionBy("Ticker")
     year = F.year(parse_day("Date"))
     raw = raw.select("*", F.min(year).over(own).alias("_from"), F.max(year).over(own).alias("_to"))
     path = scratch_path(spark, "raw")
-    csv_scan.write_raw(raw, path, F.col("_from"), F.col("_to"))
+    csv_scan.write_raw(raw, path, F.col("_from"), F.col("_to"), compression="snappy")
     typed = csv_scan.typed_records(csv_scan.read_written(spark, path))
     return _summed(typed.groupBy("file_series", "year_from", "year_to"))
 

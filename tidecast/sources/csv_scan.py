@@ -273,12 +273,13 @@ def file_key(series, year_from, year_to):
     return F.format_string("%s_%s_%s", series, year_from, year_to)
 
 
-def write_raw(raw, folder, year_from, year_to, buckets=64):
+def write_raw(raw, folder, year_from, year_to, buckets=64, compression=None):
     """Raw records with their ``file_key`` as CSV files in a bounded number of folders.
 
     The years are numbers or columns. A folder holds the units of one hash bucket, so the
     number of folders doesn't grow with the number of series. Rebalancing gathers a unit's
-    rows and splits a bucket that is too large for one file.
+    rows and splits a bucket that is too large for one file. ``compression`` names a codec
+    of Spark's CSV writer; the files are plain without it.
     """
     def column(year):
         return F.lit(year) if isinstance(year, int) else year
@@ -287,11 +288,11 @@ def write_raw(raw, folder, year_from, year_to, buckets=64):
     keyed = keyed.select(*RAW_COLUMNS, "file_key",
                          F.pmod(F.xxhash64("file_key"), F.lit(buckets)).alias("bucket"))
     (keyed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-     .csv(folder, header=True))
+     .csv(folder, header=True, compression=compression))
 
 
 def read_written(spark, folder):
     """Files written by ``write_raw``, with series and years of each record's key."""
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("file_key", T.StringType())])
-    rows = spark.read.schema(schema).csv(f"{folder}/bucket=*/*.csv", header=True)
+    rows = spark.read.schema(schema).csv(f"{folder}/bucket=*/*.csv*", header=True)
     return _split_key(rows, F.col("file_key"))

@@ -67,11 +67,12 @@ def event_days(spark, folder):
                      F.col("value"), F.col("event_id"))
 
 
-def raw_records(spark, folder):
+def raw_records(spark, folder, placed=False):
     """The 18 raw columns as text, every one filled from the line items.
 
     One record per supplier and day, the last line of the day; some closes are the ``N/A``
-    of an unrenderable cell.
+    of an unrenderable cell. ``placed`` puts a ticker's records into one partition, as a
+    window over them needs it: as seven numbers, they are moved at a third of their text.
     """
     items = read_table(spark, folder, "lineitem")
     whole = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -79,7 +80,10 @@ def raw_records(spark, folder):
     order = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_quantity",
                      "l_discount", "l_tax")
     last = items.groupBy(F.col("l_suppkey").alias("supplier"), F.to_date("l_shipdate").alias(
-        "day")).agg(F.max(order).alias("last"))
+        "day")).agg(F.max(order).alias("last")).select(
+        F.col("supplier").cast("string").alias("Ticker"), "day", "last")
+    if placed:
+        last = last.repartition("Ticker")
 
     def money(name):
         return F.format_number(F.col(f"last.{name}").cast("double"), 2)
@@ -89,7 +93,7 @@ def raw_records(spark, folder):
     close = F.when(F.dayofmonth("day") == 13, "N/A").otherwise(money("l_extendedprice"))
     filled = {
         "No": plain("l_linenumber"), "Date": F.date_format("day", "dd/MM/yyyy"),
-        "Ticker": F.col("supplier").cast("string"), "Reference": money("l_extendedprice"),
+        "Ticker": F.col("Ticker"), "Reference": money("l_extendedprice"),
         "Open_price": money("l_partkey"), "Close_price": close,
         "Highest_price": money("l_orderkey"), "Lowest_price": money("l_quantity"),
         "Average": money("l_extendedprice"), "Change": money("l_discount"),
