@@ -115,7 +115,7 @@ def csv_round_trip(spark, folder):
     return _summed(typed.groupBy("file_series", "year_from", "year_to"))
 
 
-def _summed(grouped):
+def _summed(grouped, *more):
     """Counts and sums over typed records that only come out if every column was read."""
     def whole(name):
         return F.round(F.sum(name), 0).cast("long")
@@ -125,7 +125,7 @@ def _summed(grouped):
         F.sum("No").alias("lines"), whole("Open_price").alias("parts"),
         whole("Market_cap").alias("orders"), whole("Total_volume").alias("quantity"),
         F.round(F.sum("Change"), 2).alias("discount"),
-        F.round(F.sum("Change_percent"), 2).alias("tax"))
+        F.round(F.sum("Change_percent"), 2).alias("tax"), *more)
 
 
 def _three_layouts(spark, folder):
@@ -144,12 +144,15 @@ def _three_layouts(spark, folder):
 
 @query
 def scan_mixed_headers(spark, folder):
-    """Files of three kinds of header read in one scan, columns matched by name."""
+    """Files of three kinds of header read in one scan, columns matched by name.
+
+    The averages of a series are those of all its groups, so one grouping serves both.
+    """
     back = csv_scan.scan_files(spark, _three_layouts(spark, folder), "*/*.csv")
     typed = csv_scan.typed_records(back)
-    return _summed(typed.groupBy(F.col("Ticker").alias("series"), "Note")).join(
-        typed.groupBy(F.col("Ticker").alias("series")).agg(F.count("Average").alias("averages")),
-        "series")
+    groups = _summed(typed.filter(F.col("Ticker").isNotNull()).groupBy(
+        F.col("Ticker").alias("series"), "Note"), F.count("Average").alias("averages"))
+    return groups.withColumn("averages", F.sum("averages").over(W.partitionBy("series")))
 
 
 @query
