@@ -45,3 +45,16 @@ def test_leaf_means_of_a_tree_without_resampling(spark, rows, monkeypatch):
     assert sum(x.n for x in found) == train.count() and len(found) > 3
     for x in found:  # the first tree of boosting learns from every row once
         assert x.prediction == pytest.approx(x.mean, rel=1e-9)
+
+
+def test_partitions_grow_slowly(spark, rows, make_series, monkeypatch):
+    """As before up to 32 partitions; then none for each few rows, as each costs statistics."""
+    assert [pooled.placements(n) for n in (0, 19_999, 20_000, 533_473)] == [1, 1, 2, 27]
+    assert [pooled.placements(n) for n in (3_200_000, 32_000_000, 192_000_000)] == [32, 33, 193]
+    monkeypatch.setattr(pooled, "ROWS_PER_PARTITION", 10)
+    monkeypatch.setattr(pooled, "PARTITIONS", 4)
+    r = np.random.default_rng(6)
+    frame = make_series(a=100 + r.normal(size=120).cumsum(), b=40 + r.normal(size=90).cumsum())
+    found = pooled.training_rows(frame)
+    assert found.rdd.getNumPartitions() == 4
+    assert sorted(found.collect()) == sorted(rows.collect())
