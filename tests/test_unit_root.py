@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -45,3 +46,13 @@ def test_fixed_lags_are_least_squares(spark):
         miss = steps[p:] - design @ beta
         error = math.sqrt(miss @ miss / (rows - p - 2) * np.linalg.inv(design.T @ design)[1, 1])
         assert row.adf_stat == pytest.approx(beta[1] / error, rel=1e-8)
+
+
+def test_cost_follows_the_length(spark):
+    """The mean of a series is worked out once, not for every value of it."""
+    x = np.random.default_rng(9).normal(size=12_000).cumsum()
+    df = spark.createDataFrame([(i, x.tolist()) for i in range(8)], "i int, x array<double>")
+    begun = time.perf_counter()
+    found = unit_root.centred(df).select(F.col("_z")[5].alias("z")).collect()
+    assert time.perf_counter() - begun < 6
+    assert [r.z for r in found] == pytest.approx([x[5] - x.mean()] * 8)

@@ -29,7 +29,7 @@ def _products(centred_df, lags, order, when):
     mean, which changes no t-ratio) and ``_d`` (the steps). A product of two lagged steps is
     that of the steps themselves, as far apart, but for the ends; so it costs no pass.
     """
-    d, size, rows = F.col("_d"), F.size("_d"), F.size("_d") - lags
+    z, d, size, rows = F.col("_z"), F.col("_d"), F.size("_d"), F.size("_d") - lags
     places = F.sequence(F.lit(0), lags)
 
     def ends(i, value):
@@ -45,13 +45,21 @@ def _products(centred_df, lags, order, when):
         return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
     passes = F.struct(
-        F.transform(places, lambda k: dot(step, F.slice("_d", lags + 1 - k, rows))).alias("apart"),
-        F.transform(places, lambda k: dot(level, F.slice("_d", lags + 1 - k, rows))).alias("cross"),
-        total(step).alias("step"), total(level).alias("level"), dot(level, level).alias("square"))
+        _bound(step, lambda own: F.transform(places, lambda k: dot(
+            own, F.slice("_d", lags + 1 - k, rows)))).alias("apart"),
+        dot(level, step).alias("cross"), total(step).alias("step"), total(level).alias("level"),
+        dot(level, level).alias("square"))
+
+    def further(own):
+        """The level by each lagged step: a level is the one before and its step, so the next
+        product is the last, with that of the steps as far apart, but for the ends."""
+        return F.aggregate(_steps_before(lags), F.array(own["cross"]), lambda acc, k: F.concat(
+            acc, F.array(F.element_at(acc, -1) + F.get(own["apart"], k - 1)
+                         + F.get(z, lags) * F.get(d, lags - k) - F.get(z, size) * F.get(d, size - k))))
 
     def lagged(own):
         return F.struct(
-            own["cross"].alias("cross"), own["level"].alias("level"), own["square"].alias("square"),
+            further(own).alias("cross"), own["level"].alias("level"), own["square"].alias("square"),
             F.transform(places, lambda i: own["step"] + ends(i, lambda t: F.get(d, t))).alias("sums"),
             F.transform(places, lambda i: F.transform(places, lambda j: F.get(
                 own["apart"], F.abs(i - j)) + ends(F.least(i, j), lambda t: F.get(d, t) * F.get(
@@ -106,12 +114,12 @@ def _eliminated(matrix, columns):
 def centred(arrays):
     """Adds ``_z`` and ``_d`` to rows with the values in ``x``."""
     x = F.col("x")
-    mean = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v) / F.size(x)
-    found = arrays.select("*", mean.alias("_mean"))
-    return found.select(
-        "*", F.transform(x, lambda v: v - F.col("_mean")).alias("_z"),
+    mean = F.try_divide(F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v), F.size(x))
+    # A column of its own would be put back into the function, and worked out for every value.
+    return arrays.select(
+        "*", _bound(mean, lambda m: F.transform(x, lambda v: v - m)).alias("_z"),
         F.transform(F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))),
-                    lambda v, i: v - F.get(x, i)).alias("_d")).drop("_mean")
+                    lambda v, i: v - F.get(x, i)).alias("_d"))
 
 
 def t_ratios(centred_df, lags, out):
@@ -154,12 +162,14 @@ def best_lags(centred_df, out):
 
 def normal_share(z):
     """The standard normal distribution function, by a series of positive terms."""
-    x = F.least(F.abs(z) / F.sqrt(F.lit(2.0)), F.lit(6.0))
-    total = F.aggregate(F.sequence(F.lit(1), F.lit(120)), F.struct(
-        x.alias("term"), x.alias("sum")), lambda s, k: F.struct(
-        (s["term"] * 2 * x * x / (2 * k + 1)).alias("term"),
-        (s["sum"] + s["term"] * 2 * x * x / (2 * k + 1)).alias("sum")), lambda s: s["sum"])
-    half = total * F.exp(-x * x) / F.sqrt(F.lit(3.141592653589793))
+    def below(x):
+        total = _bound(2 * x * x, lambda y: F.aggregate(F.sequence(F.lit(1), F.lit(120)), F.struct(
+            x.alias("term"), x.alias("sum")), lambda s, k: F.struct(
+            (s["term"] * y / (2 * k + 1)).alias("term"),
+            (s["sum"] + s["term"] * y / (2 * k + 1)).alias("sum")), lambda s: s["sum"]))
+        return total * F.exp(-x * x) / F.sqrt(F.lit(3.141592653589793))
+
+    half = _bound(F.least(F.abs(z) / F.sqrt(F.lit(2.0)), F.lit(6.0)), below)
     return F.when(z < 0, 0.5 - half).when(z >= 0, F.least(0.5 + half, F.lit(1.0)))
 
 
@@ -168,7 +178,7 @@ def p_value(tau):
     # fixed values: response surface coefficients
     low = 2.1659 + 1.4412 * tau + 0.038269 * tau * tau
     high = 1.7339 + 0.93202 * tau - 0.12745 * tau * tau - 0.010368 * tau * tau * tau
-    share = normal_share(F.when(tau <= -1.61, low).otherwise(high))
+    share = _bound(F.when(tau <= -1.61, low).otherwise(high), normal_share)
     return F.when(tau > 2.74, 1.0).when(tau < -18.83, 0.0).otherwise(share)
 
 
