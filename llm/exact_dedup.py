@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.frames import mapped, parallelism, written
-from llm.words import UNSPACED, slices, utf8
+from llm.words import SLICE_BYTES, UNSPACED, slices, utf8
 
 #: Text bytes that one table may hold, and that one bucket should hold.
 TABLE_BYTES = 16 << 20
@@ -100,7 +100,7 @@ def _fold(batches):
             ["row", "id", "rep", "copies", "least", "digest", "text"])
 
     for whole in batches:
-        for batch in slices(whole, "text", 4 << 20):
+        for batch in slices(whole, "text", SLICE_BYTES):
             ids = batch.column("doc_id").to_pylist()
             out = [[], [], [], [], [], [], []]
             for key, text in zip(ids, squeezed(batch.column("text"))):
@@ -206,7 +206,7 @@ def exact_dedup(docs, bucket_bytes=BUCKET_BYTES):
 
 def _digested(batches):
     for whole in batches:
-        for batch in slices(whole, "text", 4 << 20):
+        for batch in slices(whole, "text", SLICE_BYTES):
             digests = [hashlib.sha256(text).digest() for text in squeezed(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "digest*"])

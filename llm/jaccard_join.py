@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from llm.components import components
 from llm.frames import mapped, parallelism, written
 from llm.link_counts import links as counted_links
-from llm.words import UNSPACED, Words, mix, slices, utf8
+from llm.words import SLICE_BYTES, UNSPACED, Words, mix, slices, utf8
 
 #: Elements are counted in 2**BUCKET_BITS buckets, of which a slice of 2**SLICE_BITS is one
 #: array; so what is broadcast has a fixed size. Bucket collisions only make elements look
@@ -136,6 +136,12 @@ def _bitsets(places, thresholds):
     return [spark.sparkContext.broadcast(sets[t]) for t in thresholds]
 
 
+def _released(*bitsets):
+    """What was found by them is written: the executors need not hold them any longer."""
+    for bits in bitsets:
+        bits.unpersist()
+
+
 class Order:
     """The global order of elements from which anchors are taken.
 
@@ -182,7 +188,7 @@ def _placed(size, chosen):
     def placed(batches):
         seen = set()
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 found = [chosen(e) for _, e, _, first in _fresh(batch.column("text"), size, seen)
                          if first]
                 if found:
@@ -202,7 +208,7 @@ def _described(size, threshold, order, shared, crowded):
     def described(batches):
         number, seen = TaskContext.get().partitionId() << 40, set()
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 ids = batch.column("doc_id").to_pylist()
                 out = [[] for _ in types]
                 for i, elements, digest, first in _fresh(batch.column("text"), size, seen):
@@ -292,7 +298,7 @@ def _sets(size, wanted):
     def sets(batches):
         seen = set()
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 digests, blobs = [], []
                 for _, elements, digest, first in _fresh(batch.column("text"), size, seen):
                     if first and _flags(wanted.value, _place(digest[:8]))[0]:
@@ -628,6 +634,7 @@ def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS,
         [2, members])
     rows = written(mapped(docs, _described(size, threshold, order, shared, crowded), _ROWS),
                    "described")
+    _released(order.repeated, order.common, shared, crowded)
     classes = rows.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("cid"), F.min("doc_id").alias("least"),
         F.count(F.lit(1)).alias("copies"))
@@ -646,6 +653,7 @@ def jaccard_join(docs, size=5, num=80, den=100, common=COMMON, members=MEMBERS,
     sets = sets.dropDuplicates(["digest"])
     regions = written(involved.join(sets, "digest").select(
         "region", "cid", F.col("copies").alias("weight"), "elements"), "regions")
+    _released(wanted)
     if count:
         found = counted_links(regions, threshold, leaf)
         links = found.where("a IS NOT NULL").select("a", "b")

@@ -15,6 +15,10 @@ ALNUM = ((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 97) & (_BYTES <= 122)) |
 #: Word bytes of ``[^\x20\x09-\x0D]+``.
 UNSPACED = ~((_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13)))
 
+#: Text bytes that a worker takes at a time: it needs some forty bytes for each of them, and
+#: a part of that stays with it for as long as it lives.
+SLICE_BYTES = 1 << 20
+
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _powers = {}

@@ -122,3 +122,24 @@ def test_components_of_a_chain(spark):
     labels = dict(components(edges).collect())
     assert len({labels[i] for i in range(41)}) == 1
     assert labels[100] == labels[101] != labels[0]
+
+
+def test_worker_takes_a_bounded_part_of_a_large_batch(monkeypatch):
+    """Memory of a worker follows the slice and not the batch that Spark hands over."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from llm import exact_dedup, words
+    monkeypatch.setattr(words, "_powers", {})
+    r = random.Random(5)
+    texts = [" ".join(str(r.randrange(10 ** 6)) for _ in range(1500)) for _ in range(380)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    assert batch.nbytes > 3_800_000
+    for step in (jaccard_module._placed(5, lambda e: e[:10]), exact_dedup._digested):
+        tracemalloc.start()
+        for _ in step(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60e6
