@@ -23,6 +23,12 @@ def written(frame: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: For ``written``, where a row holds megabytes: the size of a page and of a row group is looked
+#: at after every row. By default that is after a hundred, and whoever writes or reads the
+#: group holds all of them.
+LONG_ROWS = {f"parquet.{part}.row.check.min": 1 for part in ("page.size", "block.size")}
+
+
 def numbered(frame: DataFrame, key: str) -> DataFrame:
     """The frame, written with a column that numbers its rows, each by another number."""
     return written(frame.withColumn(key, F.monotonically_increasing_id()), "numbered",

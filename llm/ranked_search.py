@@ -17,11 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from llm.frames import mapped, met, numbered, written
+from llm.frames import LONG_ROWS, mapped, met, numbered, written
 from llm.words import ALNUM, Words, slices, utf8
 
 #: Postings (terms of its documents) and documents of a segment, bytes of text cut at a time.
-POSTINGS, DOCUMENTS, SLICE_BYTES = 1_000_000, 4096, 2 << 20
+POSTINGS, DOCUMENTS, SLICE_BYTES = 500_000, 2048, 2 << 20
 #: Terms of all items of one item block; a longer item has a block of its own.
 ITEM_TERMS = 16_384
 #: Columns of a summary, and cells of all summaries of a segment. Terms beyond them share
@@ -48,7 +48,10 @@ def counted(column):
 
 
 def _packed(*arrays):
-    return [pa.array([a.tobytes()], pa.binary()) for a in arrays]
+    """Each array as a column of one binary value, not copied."""
+    return [pa.Array.from_buffers(pa.binary(), 1, [
+        None, pa.py_buffer(np.array([0, a.nbytes], np.int32)),
+        pa.py_buffer(np.ascontiguousarray(a))]) for a in arrays]
 
 
 def _read(value, kind):
@@ -371,7 +374,7 @@ def _searched(k):
 def build(docs):
     """The stored segments of ``docs(doc_id, text)``: terms of all documents."""
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return written(mapped(pairs, _segments, _SEGMENT), "segments", compression="zstd")
+    return written(mapped(pairs, _segments, _SEGMENT), "segments", compression="zstd", **LONG_ROWS)
 
 
 def item_blocks(segments, items):
@@ -394,7 +397,7 @@ def item_blocks(segments, items):
 def index(segments, blocks, size=BLOCK):
     """The stored posting blocks with their summaries, a row for each segment and item block."""
     return written(mapped(met(segments, "segment", blocks), _indexed(size), _INDEX), "posting-blocks",
-                   compression="zstd")
+                   compression="zstd", **LONG_ROWS)
 
 
 def _ranked(found, k):

@@ -115,3 +115,16 @@ def test_empty(make_docs, make_items):
     assert ranked(make_docs([]), make_items(ITEMS)) == []
     assert ranked(make_docs([(1, "t1")]), make_items([])) == []
     assert ranked(make_docs([(1, None), (2, ". .")]), make_items(ITEMS)) == []
+
+
+def test_a_row_group_holds_few_segments(make_docs, monkeypatch):
+    """Readers and writers hold a row group, so it must not hold all segments of a task."""
+    from glob import glob
+
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(R, "LONG_ROWS", R.LONG_ROWS | {"parquet.block.size": 4096})
+    stored = R.build(make_docs(corpus(6000)).coalesce(1))
+    assert stored.count() > 2
+    found = [pq.ParquetFile(f).metadata.num_row_groups
+             for name in stored.inputFiles() for f in glob(name.removeprefix("file://"))]
+    assert sum(found) >= stored.count()
