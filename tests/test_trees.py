@@ -58,3 +58,19 @@ def test_partitions_grow_slowly(spark, rows, make_series, monkeypatch):
     found = pooled.training_rows(frame)
     assert found.rdd.getNumPartitions() == 4
     assert sorted(found.collect()) == sorted(rows.collect())
+
+
+def test_fits_gather_small_partitions(rows, make_series, monkeypatch):
+    monkeypatch.setattr(pooled, "ROWS_PER_PARTITION", 20)
+    r = np.random.default_rng(6)
+    frame = make_series(**{c: 50 + r.normal(size=60).cumsum() for c in "abcdef"})
+    train = pooled.training_rows(frame).where("split = 'train'")
+    assert train.rdd.getNumPartitions() == 19
+    monkeypatch.setattr(pooled, "FIT_ROWS", 50)
+    few = pooled.gathered(train)
+    assert few.rdd.getNumPartitions() == train.count() // 50 + 1 < 19
+    assert sorted(few.collect()) == sorted(train.collect())
+    monkeypatch.setattr(pooled, "FIT_ROWS", 10)  # each has rows enough: left as they are
+    assert pooled.gathered(train) is train
+    alone = rows.where("split = 'train'")
+    assert pooled.gathered(alone) is alone
