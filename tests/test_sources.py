@@ -298,3 +298,34 @@ def test_mixed_headers_are_read_once_for_their_rows(spark, line_items):
     assert {(r.series, r.Note, r.averages) for r in out.collect()} == {
         (str(s), "of 2" if s == 2 else None, 0 if s == 2 else sum(k + 1 == s for k, _, _ in DAYS))
         for s in (1, 2, 3)}
+
+
+def test_a_load_of_many_files_arrives_in_parts(spark, tmp_path, monkeypatch):
+    """The driver lists few files at a time, in few tasks; the status has all, as in one part."""
+    from tidecast.plans import queries
+    day = dt.date(2024, 5, 6)
+    spark.createDataFrame([(i * 10, 1, i % 40, day, 5.0) for i in range(80)],
+                          "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate date, "
+                          "l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, -1.0 if i % 4 == 0 else 2.0) for i in range(40)],
+                          "s_suppkey long, s_acctbal double").write.parquet(
+        f"{tmp_path}/supplier.parquet")
+    seen, inner = [], csv_scan.file_status
+
+    def status(*given):
+        found = inner(*given)
+        seen.append(found.count())
+        return found
+    monkeypatch.setattr(csv_scan, "file_status", status)
+    rows = []
+    for most in (1000, 9):
+        monkeypatch.setattr(queries, "UNITS_AT_ONCE", most)
+        rows.append(sorted(map(tuple, queries.ingest_files(spark, str(tmp_path)).collect()), key=str))
+    assert rows[0] == rows[1] and len(rows[0]) == 40
+    assert sum(r[1] == "failed" for r in rows[0]) == 10
+    assert seen[0] == 40 and len(seen) > 3 and max(seen[1:]) < 20 and sum(seen[1:]) == 40
+    cost = "spark.sql.files.openCostInBytes"
+    kept = spark.conf.get(cost)
+    with csv_scan._many_files(spark):
+        assert int(spark.conf.get(cost)) == csv_scan.MANY_FILES[cost]
+    assert spark.conf.get(cost) == kept

@@ -3,6 +3,9 @@
 The SQL that must give the same rows is in ``oracles``. Doubles are rounded in both.
 """
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ QUERIES = {}
 HOLT_GRID = [(a, b) for a in (0.2, 0.5, 0.8) for b in (0.05, 0.1, 0.2)]
 BASELINES = ["Last Value", "Linear Trend", "Holt-Winters"]
 URL_TEMPLATE = "https://data.example.com/%s/daily.htm"
+# files of a load whose status is read together
+UNITS_AT_ONCE = 10_000
 LIST_NAMES = ["c1", "c2", "c3", "c4", "c5", "c6"]
 
 
@@ -157,7 +162,11 @@ def scan_mixed_headers(spark, folder):
 
 @query
 def ingest_files(spark, folder):
-    """Status of the files of a load in which the units in debt are no text."""
+    """Status of the files of a load in which the units in debt are no text.
+
+    Each unit is a file of its own, and the driver lists files, so the load arrives in parts
+    of about ``UNITS_AT_ONCE`` units, and each part's status is stored before the next is read.
+    """
     units = _units(spark, folder).join(
         tables.read_table(spark, folder, "supplier").select(
             F.col("s_suppkey").cast("string").alias("series"),
@@ -165,8 +174,17 @@ def ingest_files(spark, folder):
     path = scratch_path(spark, "load")
     line = F.when(F.col("broken"), F.unhex(F.lit("FFFE00FF")).cast("string")).otherwise("Ticker")
     units.select(csv_scan.file_key(F.col("series"), F.col("year_from"), F.col("year_to")).alias(
-        "unit"), line.alias("value")).write.partitionBy("unit").text(path)
-    status = csv_scan.file_status(spark, path, "unit=*/*.txt")
+        "unit"), line.alias("value")).write.parquet(f"{path}/units")
+    stored = spark.read.parquet(f"{path}/units")
+    parts = stored.count() // UNITS_AT_ONCE + 1
+    found = []
+    for part in range(parts):
+        some = stored.where(F.pmod(F.xxhash64("unit"), F.lit(parts)) == part)
+        if part and some.isEmpty():
+            continue
+        some.write.partitionBy("unit").text(f"{path}/part-{part}")
+        found.append(csv_scan.file_status(spark, f"{path}/part-{part}", "unit=*/*.txt"))
+    status = reduce(DataFrame.unionByName, found)
     named = status.withColumn("file_path", F.regexp_extract("file_path", "unit=([^/]+)", 1))
     return ingest.files_status(named)
 

@@ -3,6 +3,7 @@
 import bz2
 import re
 import zlib
+from contextlib import contextmanager
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -32,6 +33,24 @@ COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst|zstd)$"
 PROBED, PROBED_BYTES = r"\.(gz|bz2|deflate)$", 256 << 20
 #: A file's rows meet its header by pieces of this size.
 PIECE = 128 << 20
+#: While the status of files is read, opening one counts as so many bytes, they are listed in so
+#: many tasks, and the listing isn't kept for later readers. Spark's own values make a task for
+#: each few files, or for each one listed, and the driver keeps a record of every task.
+MANY_FILES = {"spark.sql.files.openCostInBytes": 64 << 10,
+              "spark.sql.sources.parallelPartitionDiscovery.parallelism": 64,
+              "spark.sql.hive.filesourcePartitionFileCacheSize": 0}
+
+
+@contextmanager
+def _many_files(spark):
+    before = {key: spark.conf.get(key) for key in MANY_FILES}
+    for key, value in MANY_FILES.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _but(frame, left_out):
@@ -128,6 +147,11 @@ def file_status(spark, folder, pattern="*.csv"):
 
 def _status(spark, location):
     """The stored status of every file, and the paths of the torn ones."""
+    with _many_files(spark):
+        return _stored_status(spark, location)
+
+
+def _stored_status(spark, location):
     listed = (spark.read.format("binaryFile").load(location)
               .select(F.col("_metadata.file_path").alias("file_path"), "length"))
     blank = F.trim(F.regexp_replace("value", "^\ufeff|[\r\t]", "")) == ""
